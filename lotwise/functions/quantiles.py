@@ -79,8 +79,11 @@ def _same(left: str, right: str, names: Sequence[str]) -> Column:
 
 
 def _by_rank(rows: DataFrame, probs: Sequence[float], by: list[str], slots: int) -> DataFrame:
-    inner = rows.approxQuantile("_value", [i / slots for i in range(1, slots)], 0.25 / slots)
-    bounds = [float("-inf"), *sorted(set(inner) - {float("-inf"), float("inf")}), float("inf")]
+    # The only values that come to the driver: slots + 1 boundaries. Their error moves
+    # rows between slots and leaves the result exact.
+    found = rows.agg(approx_boundaries("_value", slots, accuracy=slots)).first()[0] or []
+    infinite = {float("-inf"), float("inf")}
+    bounds = [float("-inf"), *(sorted(set(found) - infinite) or [0.0]), float("inf")]
     slotted = Bucketizer(splits=bounds, inputCol="_value", outputCol="_slot").transform(rows)
 
     # 0-based ranks on both sides of each position, and the weight of the upper one.
@@ -136,12 +139,12 @@ def _by_rank(rows: DataFrame, probs: Sequence[float], by: list[str], slots: int)
         (low + (high - low) * F.max("_weight")).alias("_quantile")
     )
     # One entry per probability, put back in the order asked for.
-    found = F.map_from_entries(F.collect_list(F.struct("_prob", "_quantile")))
+    by_prob = F.map_from_entries(F.collect_list(F.struct("_prob", "_quantile")))
     return (
         per_prob.groupBy(*by)
-        .agg(found.alias("_found"), F.count(F.lit(1)).alias("_probs"))
+        .agg(by_prob.alias("_by_prob"), F.count(F.lit(1)).alias("_probs"))
         .filter("_probs > 0")
-        .select(*by, F.array(*(F.col("_found")[F.lit(p)] for p in probs)).alias("quantiles"))
+        .select(*by, F.array(*(F.col("_by_prob")[F.lit(p)] for p in probs)).alias("quantiles"))
     )
 
 

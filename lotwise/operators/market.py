@@ -4,7 +4,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.columns import percent_change, price_per_sqm
-from lotwise.functions.quantiles import approx_boundaries, approx_median, with_group_median
+from lotwise.functions.quantiles import (
+    ACCURACY,
+    approx_boundaries,
+    approx_median,
+    with_group_median,
+)
 from lotwise.functions.ranking import with_ntile
 
 
@@ -75,7 +80,7 @@ def commune_ranking_sql(sales: DataFrame, min_sales: int = 100) -> DataFrame:
         WITH per_commune AS (
             SELECT nom_commune,
                    count(*) AS nb_ventes,
-                   round(percentile_approx(try_divide(prix, surface_bati), 0.5, 100000), 0)
+                   round(percentile_approx(try_divide(prix, surface_bati), 0.5, :accuracy), 0)
                        AS prix_m2_median
             FROM {sales}
             GROUP BY nom_commune
@@ -84,7 +89,7 @@ def commune_ranking_sql(sales: DataFrame, min_sales: int = 100) -> DataFrame:
         WHERE nb_ventes >= :min_sales
         ORDER BY prix_m2_median DESC, nom_commune
         """,
-        args={"min_sales": min_sales},
+        args={"min_sales": min_sales, "accuracy": ACCURACY},
         sales=sales,
     )
 

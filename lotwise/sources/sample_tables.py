@@ -32,7 +32,7 @@ def raw_lots(spark: SparkSession, folder: str, year: int | None = None) -> DataF
         .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             "o_orderkey",
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_mutation"),
+            F.col("o_orderdate").cast("date").cast("string").alias("date_mutation"),
             F.when(
                 (F.col("o_orderstatus") == "P") & (F.col("o_custkey") % 4 == 0), "Adjudication"
             ).otherwise("Vente").alias("nature_mutation"),
