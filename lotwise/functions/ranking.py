@@ -17,19 +17,18 @@ def with_position(df: DataFrame, order: Sequence[str]) -> DataFrame:
     tasks by the columns that follow; ``order`` must end in a unique column for the
     ranks to be reproducible. The sorted rows are stored once, because a second
     evaluation could sample other range boundaries. What remains is to add the
-    size of the earlier partitions to the row number within each one.
+    size of the earlier partitions to the row number within each one. Spark may merge
+    neighbouring small partitions, which keeps their order.
     """
-    spark = df.sparkSession
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = stored(
-        df.repartitionByRange(slices, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_spot", F.monotonically_increasing_id())
     ).withColumn("_slice", F.shiftright("_spot", _ROW_BITS))
     in_slice = F.col("_spot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
 
-    # One row per range partition, a number fixed by configuration: safe to sort in
-    # one task and to broadcast.
+    # One row per range partition, at most spark.sql.shuffle.partitions: safe to sort
+    # in one task and to broadcast.
     everything = Window.partitionBy()
     sizes = (
         placed.groupBy(F.col("_slice").alias("_of"))

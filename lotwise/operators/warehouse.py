@@ -34,14 +34,12 @@ def dim_commune(staged: DataFrame) -> DataFrame:
     """One row per commune name, with its smallest postcode.
 
     Communes of the same name merge, and sales without commune get a row of their
-    own. Distinct pairs first: they hash-aggregate in the map tasks, while a textual
-    minimum over all sales would sort them.
+    own. Staged postcodes are five digits, so the smallest number is the smallest
+    text; a number aggregates by hash, whereas text would make Spark sort all sales.
     """
-    pairs = staged.select("nom_commune", "code_postal").distinct()
-    return (
-        pairs.groupBy("nom_commune")
-        .agg(F.min("code_postal").alias("code_postal"))
-        .select(surrogate_key("nom_commune").alias("commune_id"), "nom_commune", "code_postal")
+    smallest = F.lpad(F.min(F.col("code_postal").cast("int")).cast("string"), 5, "0")
+    return staged.groupBy("nom_commune").agg(smallest.alias("code_postal")).select(
+        surrogate_key("nom_commune").alias("commune_id"), "nom_commune", "code_postal"
     )
 
 

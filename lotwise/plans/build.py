@@ -1,5 +1,6 @@
 """Raw files to the clean sales table, behind the quality gate."""
 
+import argparse
 import logging
 from collections.abc import Sequence
 
@@ -59,3 +60,21 @@ def exact_medians(sales: DataFrame) -> DataFrame:
     return sales.sparkSession.range(1).select(
         price.alias("prix_median"), area.alias("surface_mediane")
     )
+
+
+def main(arguments: Sequence[str] | None = None) -> None:
+    """``spark-submit lotwise/plans/build.py --folder ... --destination ...``."""
+    parser = argparse.ArgumentParser(description="Build the clean sales table.")
+    parser.add_argument("--folder", required=True, help="folder of the yearly raw files")
+    parser.add_argument("--dataset", required=True, help="first part of the file names")
+    parser.add_argument("--department", default="33")
+    parser.add_argument("--years", type=int, nargs="+", default=[2022, 2023, 2024])
+    parser.add_argument("--destination", required=True, help="folder of the clean table")
+    parser.add_argument("--min-rate", type=float, default=MIN_SURVIVAL_RATE)
+    options = parser.parse_args(arguments)
+    logging.basicConfig(level=logging.INFO, format="%(levelname)s %(message)s")
+    build_from_files(SparkSession.builder.getOrCreate(), **vars(options))
+
+
+if __name__ == "__main__":
+    main()

@@ -1,6 +1,8 @@
 """Clean sales to a fitted, evaluated and documented price model."""
 
+import argparse
 import logging
+from collections.abc import Sequence
 from dataclasses import asdict
 
 from pyspark.ml import PipelineModel
@@ -19,6 +21,7 @@ from lotwise.operators.pricing import (
     train_model,
 )
 from lotwise.sources.scratch import stored
+from lotwise.sources.tables import read_parquet
 
 logger = logging.getLogger(__name__)
 
@@ -51,7 +54,7 @@ def train_and_evaluate(
     model = train_model(train, max_iter, max_depth)
     quality = evaluate(predict(model, test))
     logger.info("Model: %s", quality.summary())
-    logger.info("Gain over the baseline: %.1f%%", 100 * (1 - quality.mae / baseline.mae))
+    logger.info("Gain over the baseline: %.1f%%", 100 * quality.gain_over(baseline))
 
     card = model_card(
         sales.sparkSession, split_date, train.count(), test.count(), quality, baseline
@@ -59,3 +62,21 @@ def train_and_evaluate(
     save_model(model, f"{folder}/model")
     card.coalesce(1).write.mode("overwrite").json(f"{folder}/model_card")
     return model, card
+
+
+def main(arguments: Sequence[str] | None = None) -> None:
+    """``spark-submit lotwise/plans/training.py --sales ... --folder ...``."""
+    parser = argparse.ArgumentParser(description="Train and evaluate the price model.")
+    parser.add_argument("--sales", required=True, help="folder of the clean table")
+    parser.add_argument("--folder", required=True, help="folder for the model and its card")
+    parser.add_argument("--split-date", default=SPLIT_DATE)
+    parser.add_argument("--max-iter", type=int, default=MAX_ITER)
+    parser.add_argument("--max-depth", type=int, default=MAX_DEPTH)
+    options = vars(parser.parse_args(arguments))
+    logging.basicConfig(level=logging.INFO, format="%(levelname)s %(message)s")
+    spark = SparkSession.builder.getOrCreate()
+    train_and_evaluate(read_parquet(spark, options.pop("sales")), **options)
+
+
+if __name__ == "__main__":
+    main()

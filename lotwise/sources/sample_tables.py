@@ -14,8 +14,9 @@ def raw_lots(spark: SparkSession, folder: str, year: int | None = None) -> DataF
     """Raw lots of all orders, or of the orders of one calendar year.
 
     Orders meet customers and nations before the line items, so the largest table
-    is shuffled once only; Spark broadcasts the small tables when their files are
-    small, and splits oversized orders by its skew-join handling otherwise.
+    is shuffled once only. Spark broadcasts customers and nations when their files
+    are small. Line items are never broadcast, however small the estimate after
+    pruning: the merge join also lets Spark split an order with very many of them.
     """
 
     def table(name: str) -> DataFrame:
@@ -64,7 +65,8 @@ def raw_lots(spark: SparkSession, folder: str, year: int | None = None) -> DataF
         (F.col("l_linenumber") * 256 + F.ascii("l_returnflag")).cast("long").alias(LOT_ORDER),
     )
     return (
-        lots.join(sales, F.col("l_orderkey") == F.col("o_orderkey"))
+        lots.hint("merge")
+        .join(sales, F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumn("id_mutation", F.col("l_orderkey").cast("string"))
         .select(*RAW_LOT.fieldNames(), LOT_ORDER)
     )

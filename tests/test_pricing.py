@@ -63,6 +63,12 @@ def test_error_means(spark):
     )
 
 
+def test_gain_over_the_baseline():
+    base, model = metrics.Metrics(200.0, 0.2, 1.0), metrics.Metrics(50.0, 0.1, 1.0)
+    assert model.gain_over(base) == 0.75
+    assert np.isnan(base.gain_over(metrics.Metrics(0.0, 0.0, 0.0)))
+
+
 def test_error_distribution(spark):
     pairs = [(100, 100 + i) for i in range(1, 102)]
     row = metrics.error_distribution(predictions(spark, *pairs)).first()
