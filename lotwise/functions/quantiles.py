@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from lotwise.sources.scratch import stored
 
-# Rank error of the sketches is 1/ACCURACY of the group; smaller groups are exact.
-ACCURACY = 100_000
+# Rank error of the sketches is 1/ACCURACY of the group; smaller groups are exact. A
+# sketch has about as many entries, and the reducer of a hot group merges one sketch per
+# map task: 20,000 tasks send it some 20 GB, ten times more accuracy ten times as much.
+ACCURACY = 40_000
 
 # Up to this many rows the exact quantiles use Spark's own aggregate, which holds
 # the distinct values of a group in memory.
