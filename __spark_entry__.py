@@ -398,7 +398,8 @@ def oracle_sql() -> dict[str, str]:
                     make_date(year(max(date_mutation)), 12, 31)::timestamp,
                     INTERVAL 1 DAY))::date AS date_id
                 FROM staged)
-            SELECT date_id::varchar AS date_id, year(date_id)::integer AS annee, quarter(date_id)::integer AS trimestre,
+            SELECT date_id::varchar AS date_id, year(date_id)::integer AS annee,
+                   quarter(date_id)::integer AS trimestre,
                    month(date_id)::integer AS mois,
                    ['janvier', 'février', 'mars', 'avril', 'mai', 'juin', 'juillet', 'août',
                     'septembre', 'octobre', 'novembre', 'décembre'][month(date_id)] AS nom_mois,
