@@ -1,28 +1,24 @@
 """Intermediate tables on the shared folder of the cluster."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: str | None = None
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """This application's subfolder of the folder named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting falls back to a temporary
-    folder; on a cluster a folder of one machine would be lost with it.
+    Without that setting the warehouse, which all machines reach as well, takes its place.
     """
-    global _local_folder
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach.")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="lotwise-")
-    return _local_folder
+    if not named:
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return f"{named.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def new_path(spark: SparkSession) -> str:
+    """A path of the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -33,7 +29,13 @@ def stored(df: DataFrame) -> DataFrame:
     the columns they need, and the optimizer knows its true size, so small tables
     are broadcast, and large ones are not, without any hint.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = new_path(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> bool:
+    """Delete what this application has stored; results that still read it are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.delete(path, True)
