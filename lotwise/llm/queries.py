@@ -41,3 +41,40 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_dedup": lambda s, d: suffix_dedup.digest(docs(s, d)),
         "op10_exact_dedup": lambda s, d: exact_dedup.mark_copies(docs(s, d)),
     }
+
+
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL for the rows of the queries that SQL can express."""
+    stripped = r"regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '')"
+    lower = "translate(key, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return {
+        "op1_line_dedup": f"""
+            WITH split AS (
+                SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                       generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+                FROM documents),
+            stripped AS (SELECT doc_id, pos, line, {stripped} AS key FROM split),
+            keyed AS (SELECT doc_id, pos, line, {lower} AS key FROM stripped),
+            often AS (SELECT key FROM keyed WHERE length(key) >= 1
+                      GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+            marked AS (SELECT doc_id, pos, line, key IN (SELECT key FROM often) AS gone FROM keyed)
+            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+                   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+            FROM marked GROUP BY doc_id""",
+        "op8_warc": """
+            WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+            grouped AS (SELECT page_id, html, min(page_id) OVER (PARTITION BY html) AS original FROM payloads),
+            hashed AS (SELECT page_id, html, original, sha1(html) AS hex FROM grouped),
+            bits AS (SELECT page_id, html, original,
+                            (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                                    1 + (('0x' || substr(hex, 1 + 5 * (i // 4), 5))::integer
+                                         >> (15 - 5 * (i % 4))) % 32, 1), '' ORDER BY i)
+                             FROM range(32) r(i)) AS digest FROM hashed)
+            SELECT page_id, strlen(html) AS payload_bytes, digest AS payload_digest,
+                   CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+                   CASE WHEN page_id <> original THEN original END AS refers_to FROM bits""",
+        "op10_exact_dedup": """
+            SELECT doc_id, max(doc_id) OVER copies AS keep_id, count(*) OVER copies AS group_size,
+                   doc_id = max(doc_id) OVER copies AS kept, sha256(coalesce(text, '')) AS text_sha256
+            FROM documents WINDOW copies AS (PARTITION BY coalesce(text, ''))""",
+    }
