@@ -20,6 +20,12 @@ from lotwise.schemas import RAW_LOT
 from lotwise.sources.sample_tables import raw_lots
 from lotwise.sources.scratch import stored
 
+try:  # The text operators are an optional part.
+    import corpus_pipeline
+    from lotwise.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 SPLIT_DATE = "2000-01-01"
 YEARS = (1998, 1999, 2000)
 
@@ -144,6 +150,12 @@ def _model_vs_baseline(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every implemented query by name."""
+    if llm_queries is None:
+        return _sales_queries()
+    return _sales_queries() | llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # cleaning
         "clean_market_sales": lambda s, d: cleaning.keep_market_sales(raw_lots(s, d)).select(
@@ -359,6 +371,12 @@ funnel AS (
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of each query that SQL can express."""
+    if llm_queries is None:
+        return _sales_oracles()
+    return _sales_oracles() | llm_queries.oracle_sql()
+
+
+def _sales_oracles() -> dict[str, str]:
     body = {
         "clean_market_sales": (_RAW, f"SELECT {_RAW_COLUMNS} FROM raw WHERE nature_mutation = 'Vente'"),
         "clean_priced_lots": (

@@ -10,7 +10,7 @@ import __spark_entry__ as driver
 
 DATA = "/root/testdata/sf0.001"
 TABLES = ("nation", "customer", "orders", "lineitem")
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = driver._sales_queries(), driver._sales_oracles()
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
     "boolean": "BOOLEAN",
