@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import hash128, text_or_empty
+from lotwise.sources.scratch import stored
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: Column | None = None) -> DataFrame:
@@ -23,13 +24,25 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: Column | None = None)
     text = text_or_empty() if text is None else text
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("_text"))
     hashed = rows.select("_id", "_text", *hash128(F.col("_text")))
-    repeated = hashed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return (
-        hashed.join(repeated, ["h1", "h2"], "left_semi")
-        .groupBy("h1", "h2", "_text")
+    # Stored, both sides of each join are plain shuffles, which adaptive execution can split.
+    repeated = stored(
+        hashed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    )
+    # New names for the hashes, else the copies would be grouped where the join left them.
+    found = hashed.join(repeated, ["h1", "h2"], "left_semi").select(
+        "_id", "_text", (F.col("h1") + F.lit(0)).alias("g1"), (F.col("h2") + F.lit(0)).alias("g2")
+    )
+    return stored(
+        found.groupBy("g1", "g2", "_text")
         .agg(F.max("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .filter("group_size > 1")
-        .select("h1", "h2", F.sha2("_text", 256).alias("_sha"), "keep_id", "group_size")
+        .select(
+            F.col("g1").alias("h1"),
+            F.col("g2").alias("h2"),
+            F.sha2("_text", 256).alias("_sha"),
+            "keep_id",
+            "group_size",
+        )
     )
 
 
