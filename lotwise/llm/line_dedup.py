@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import hash128, text_or_empty
+from lotwise.sources.scratch import stored
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -52,7 +53,8 @@ def drop_frequent_lines(
     adaptive execution splits. Texts are shuffled once, by document, to be reassembled.
     Rows are told apart by id and hash of the text: equal rows lose the same lines.
     """
-    frequent = frequent_lines(docs, min_docs, min_chars)
+    # Stored, so that the join's sides are plain shuffles, which adaptive execution can split.
+    frequent = stored(frequent_lines(docs, min_docs, min_chars))
     rows = docs.select(
         F.col(id_col).alias("_id"), F.xxhash64(text_or_empty()).alias("_th"),
         F.posexplode(lines_of(text_or_empty())).alias("_pos", "_line"),
