@@ -82,20 +82,20 @@ class Packer:
     def __init__(self, limits: Limits):
         self.limits = limits
         self.pool: list[Piece] = []
-        self.needs = np.zeros((0, 3))
+        self.needs = np.zeros((POOL, 3))
         self.scale = np.array([limits.tokens, limits.segments, max(limits.loss, 1)], float)
 
-    def _put(self, pieces: list[Piece]) -> None:
-        self.pool += pieces
-        rows = [(len(p.ids), 1, p.bearing) for p in pieces]
-        self.needs = np.vstack([self.needs, np.array(rows, float).reshape(-1, 3)])
+    def _put(self, piece: Piece) -> None:
+        if len(self.pool) == len(self.needs):
+            self.needs = np.vstack([self.needs, np.zeros_like(self.needs)])
+        self.needs[len(self.pool)] = len(piece.ids), 1, piece.bearing
+        self.pool.append(piece)
 
     def _take(self, at: int) -> Piece:
         piece, last = self.pool[at], self.pool.pop()
         if at < len(self.pool):
             self.pool[at] = last
-            self.needs[at] = self.needs[-1]
-        self.needs = self.needs[:-1]
+            self.needs[at] = self.needs[len(self.pool)]
         return piece
 
     def add(self, piece: Piece) -> Iterator[list[Piece]]:
@@ -104,7 +104,7 @@ class Packer:
             head, piece = piece.cut(whole)
             yield [head]
         if len(piece.ids):
-            self._put([piece])
+            self._put(piece)
         while len(self.pool) >= POOL:
             yield self._fill()
 
@@ -116,8 +116,9 @@ class Packer:
         room = np.array([self.limits.tokens, self.limits.segments, self.limits.loss], float)
         taken: list[Piece] = []
         while self.pool and room[0] and room[1]:
-            fits = (self.needs <= room).all(axis=1)
-            value = np.where(fits, (self.needs / self.scale) @ (room / self.scale), -1.0)
+            needs = self.needs[: len(self.pool)]
+            fits = (needs[:, 0] <= room[0]) & (needs[:, 2] <= room[2])
+            value = np.where(fits, needs @ (room / self.scale**2), -1.0)
             best = int(value.argmax())
             if value[best] < 0:
                 lengths = np.array([p.longest(int(room[0]), int(room[2])) for p in self.pool])
@@ -125,7 +126,7 @@ class Packer:
                 if not lengths[best]:
                     break
                 head, tail = self._take(best).cut(int(lengths[best]))
-                self._put([tail])
+                self._put(tail)
             else:
                 head = self._take(best)
             taken.append(head)
@@ -139,10 +140,10 @@ class Packer:
             if len(piece.ids) > excess:
                 piece, tail = piece.cut(len(piece.ids) - excess)
                 taken.append(piece)
-                self._put([tail])
+                self._put(tail)
                 break
             excess -= len(piece.ids)
-            self._put([piece])
+            self._put(piece)
         return taken
 
 
@@ -236,7 +237,9 @@ def tokenize(
 
     def function(column: pa.Array) -> list[bytes]:
         encoding = _encoding(definition.value, PATTERN)
-        return [pack_ids(encoding.encode_ordinary(t)) + end for t in texts_of(column)]
+        return [
+            encoding.encode_to_numpy(t, disallowed_special=()).tobytes() + end for t in texts_of(column)
+        ]
 
     return with_binary(docs, text, target, function)
 
