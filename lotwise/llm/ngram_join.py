@@ -228,8 +228,11 @@ def _leader_pairs(reps: DataFrame) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, percent: int) -> DataFrame:
-    """``(rep, s1, size, tokens)``: the hash-ordered prefix of each document."""
-    names = ["rep", "s1", "size", "tokens"]
+    """``(rep, s1, size, room, tokens)``: the hash-ordered prefix of each document.
+
+    ``room``: frequent shingles that it may hold and still have a rare prefix for k = 1.
+    """
+    names = ["rep", "s1", "size", "room", "tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 4 << 20):
@@ -241,13 +244,19 @@ def _prefixes(docs: DataFrame, percent: int) -> DataFrame:
                     batch.column(0),
                     pa.array(np.array([_signature(s)[0] for s in sets], np.uint64).view(np.int64)),
                     pa.array(np.array([len(s) for s in sets], np.int64)),
+                    pa.array(
+                        np.array(
+                            [len(p) - 1 - len(s) + least_overlap(len(s), percent) for s, p in zip(sets, parts, strict=True)],
+                            np.int64,
+                        )
+                    ),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(_as_longs(np.concatenate(parts)))),
                 ],
                 names=names,
             )
 
     return map_arrow(
-        docs.select("rep", "text"), run, "rep long, s1 long, size long, tokens array<long>"
+        docs.select("rep", "text"), run, "rep long, s1 long, size long, room long, tokens array<long>"
     )
 
 
@@ -425,14 +434,14 @@ def link_documents(
     prefixes = stored(
         _prefixes(rows, percent)
         .join(classes, ["rep", "s1"])
-        .select("rep", "class", "size", F.explode("tokens").alias("token"))
+        .select("rep", "class", "size", "room", F.explode("tokens").alias("token"))
     )
     many = F.col("n") > FREQUENT
     often = stored(_open(prefixes).filter(many).select("token"))
-    touched = prefixes.join(often, "token", "left_semi").select("rep").distinct()
+    touched = _crowded(prefixes, often)
     texts = _texts(rows, classes.join(touched, "rep", "left_semi"))
     often = stored(often.unionByName(_open(_whole(texts)).filter(many).select("token")).distinct())
-    touched = stored(prefixes.join(often, "token", "left_semi").select("rep").distinct())
+    touched = stored(_crowded(prefixes, often))
     texts = _texts(rows, classes.join(touched, "rep", "left_semi"))
     marks = (
         _whole(texts)
@@ -440,8 +449,11 @@ def link_documents(
         .groupBy("rep")
         .agg(F.collect_list("token").alias("common"))
     )
-    index = prefixes.join(touched, "rep", "left_anti").unionByName(
-        _ordered_keys(texts, marks, percent)
+    index = (
+        prefixes.drop("room")
+        .join(often, "token", "left_anti")
+        .join(touched, "rep", "left_anti")
+        .unionByName(_ordered_keys(texts, marks, percent))
     )
     posted = stored(index.join(_open(index), "token"))
     pairs = _verify(_key_pairs(posted, percent), rows, reps, percent)
@@ -457,6 +469,17 @@ def link_documents(
     )
 
 
+def _crowded(prefixes: DataFrame, often: DataFrame) -> DataFrame:
+    """Documents whose prefix has too many frequent shingles to be indexed by rare ones alone."""
+    return (
+        prefixes.join(often, "token", "left_semi")
+        .groupBy("rep")
+        .agg(F.count(F.lit(1)).alias("n"), F.first("room").alias("room"))
+        .filter("n > room")
+        .select("rep")
+    )
+
+
 def _with_class(reps: DataFrame, found: DataFrame) -> DataFrame:
     """``(rep, s1, class)``; a representative without links is its own class."""
     return stored(
