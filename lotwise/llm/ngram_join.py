@@ -280,7 +280,7 @@ def _whole(texts: DataFrame) -> DataFrame:
 
 
 def _ordered_keys(texts: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
-    """``(rep, class, size, token)``: index keys of sets that hold frequent shingles."""
+    """``(rep, class, size, token)``: keys of crowded sets, without shingles of their plain prefix."""
     joined = texts.join(marks, "rep").select("rep", "s1", "class", "text", "common")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,6 +292,8 @@ def _ordered_keys(texts: DataFrame, marks: DataFrame, percent: int) -> DataFrame
                 is_common = np.isin(found, np.array(common, np.int64).view(np.uint64))
                 order = np.argsort(is_common, kind="stable")
                 keys = prefix_keys(found[order], is_common[order], len(found), percent)
+                plain = found[: prefix_length(len(found), percent)]
+                keys = keys[~np.isin(keys, plain)]
                 n = len(keys)
                 yield _emit(
                     ["rep", "class", "size", "token"],
@@ -449,13 +451,11 @@ def link_documents(
         .groupBy("rep")
         .agg(F.collect_list("token").alias("common"))
     )
-    index = (
-        prefixes.drop("room")
-        .join(often, "token", "left_anti")
-        .join(touched, "rep", "left_anti")
-        .unionByName(_ordered_keys(texts, marks, percent))
-    )
-    posted = stored(index.join(_open(index), "token"))
+    # Keys that touched documents have beyond their plain prefix; frequent ones fall out with
+    # the keys, so that the large index is shuffled twice only.
+    index = prefixes.drop("room").unionByName(_ordered_keys(texts, marks, percent))
+    keys = stored(_open(index).join(often, "token", "left_anti"))
+    posted = stored(index.join(keys, "token"))
     pairs = _verify(_key_pairs(posted, percent), rows, reps, percent)
     links = stored(
         quick.unionByName(pairs).unionByName(_block_links(posted, rows, reps, classes, percent))
