@@ -35,7 +35,7 @@ from lotwise.sources.scratch import stored
 
 LENGTH = 200
 GRAMS = (64, 136, 176, 200)
-MOST = 512
+MOST = 4096  # about a megabyte
 LONGEST_RUN = 1024
 BLOCK_BYTES = 512 << 10
 SEPARATOR = b"\xff"  # no byte of UTF-8
