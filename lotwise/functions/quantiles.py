@@ -6,7 +6,6 @@ column, the exact ones interpolate between the two values around the position.
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,12 +16,8 @@ from lotwise.sources.scratch import stored
 # map task: 20,000 tasks send it some 20 GB, ten times more accuracy ten times as much.
 ACCURACY = 40_000
 
-# Up to this many rows the exact quantiles use Spark's own aggregate, which holds
-# the distinct values of a group in memory.
-IN_MEMORY_ROWS = 2_000_000
-
-# Slots the value range is cut into beyond that.
-SLOTS = 4096
+# monotonically_increasing_id keeps the row within its partition in these bits.
+_ROW_BITS = 33
 
 
 def approx_median(value: Column | str, accuracy: int = ACCURACY) -> Column:
@@ -40,36 +35,36 @@ def approx_boundaries(value: Column | str, parts: int, accuracy: int = ACCURACY)
 
 
 def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    *,
-    in_memory_rows: int = IN_MEMORY_ROWS,
-    slots: int = SLOTS,
+    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Interpolated quantiles per group, as ``by`` columns plus the array ``quantiles``.
 
-    Nulls and NaN do not count; a group without values has no row. ``df`` is read
-    several times and should be a stored table. Up to ``in_memory_rows`` rows the
-    result is one aggregation. Beyond, no group is ever brought together:
+    Nulls and NaN do not count; a group without values has no row; both zeros are 0.0.
+    ``df`` is read once. The way is the same at every size, and no group is ever brought
+    together:
 
-    1. slot boundaries from approximate quantiles of the whole column,
-    2. row count per group and slot, which tells the slot of each wanted rank,
-    3. only rows of those slots, as counts per distinct value, to pick the rank.
+    1. rows per group and distinct value, which combines before the shuffle,
+    2. those in the order of group and value, cut into slices by a range partitioning, so
+       that a large group lies in many slices,
+    3. rows per group and slice, which tell the slice of each wanted rank,
+    4. running counts within the slices so found, to pick the rank.
 
-    So a group with most of the rows is spread over many slots, equal values
-    collapse before the shuffle, and the last sort sees about 1/slots of the data.
+    The unit of work is a slice: more shuffle partitions make more and smaller ones.
     """
-    rows = df.select(*by, F.col(value).cast("double").alias("_value")).filter(
-        F.col("_value").isNotNull() & ~F.isnan("_value")
+    by, value_order = list(by), [*by, "_value"]
+    counts = stored(
+        df.select(*by, F.col(value).cast("double").alias("_value"))
+        .filter(F.col("_value").isNotNull() & ~F.isnan("_value"))
+        .groupBy(*value_order)
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    if df.count() <= in_memory_rows:
-        quantiles = F.percentile("_value", F.array(*map(F.lit, probs)))
-        if not by:
-            return rows.agg(quantiles.alias("quantiles")).filter("quantiles is not null")
-        return rows.groupBy(*by).agg(quantiles.alias("quantiles"))
-    return _by_rank(rows, probs, list(by), slots)
+    placed = (
+        counts.repartitionByRange(*value_order)
+        .sortWithinPartitions(*value_order)
+        .withColumn("_slice", F.shiftright(F.monotonically_increasing_id(), _ROW_BITS))
+    )
+    # Stored, as another evaluation could sample other slices.
+    return _by_rank(stored(placed), list(probs), by)
 
 
 def _same(left: str, right: str, names: Sequence[str]) -> Column:
@@ -80,14 +75,7 @@ def _same(left: str, right: str, names: Sequence[str]) -> Column:
     return condition
 
 
-def _by_rank(rows: DataFrame, probs: Sequence[float], by: list[str], slots: int) -> DataFrame:
-    # The only values that come to the driver: slots + 1 boundaries. Their error moves
-    # rows between slots and leaves the result exact.
-    found = rows.agg(approx_boundaries("_value", slots, accuracy=slots)).first()[0] or []
-    infinite = {float("-inf"), float("inf")}
-    bounds = [float("-inf"), *(sorted(set(found) - infinite) or [0.0]), float("inf")]
-    slotted = Bucketizer(splits=bounds, inputCol="_value", outputCol="_slot").transform(rows)
-
+def _by_rank(placed: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
     # 0-based ranks on both sides of each position, and the weight of the upper one.
     position = (F.col("_size") - 1) * F.col("_prob")
     ranks = F.explode(
@@ -97,10 +85,10 @@ def _by_rank(rows: DataFrame, probs: Sequence[float], by: list[str], slots: int)
         )
     )
     group = Window.partitionBy(*by)
-    earlier = group.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     wanted = (
-        slotted.groupBy(*by, "_slot")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        placed.groupBy(*by, "_slice")
+        .agg(F.sum("_n").alias("_n"))
         .withColumn("_size", F.sum("_n").over(group))
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .withColumn("_prob", F.explode(F.array(*map(F.lit, sorted(set(probs))))))
@@ -109,7 +97,7 @@ def _by_rank(rows: DataFrame, probs: Sequence[float], by: list[str], slots: int)
         .filter((F.col("_offset") >= 0) & (F.col("_offset") < F.col("_n")))
         .select(
             *by,
-            "_slot",
+            "_slice",
             "_prob",
             "_offset",
             F.col("_at.side").alias("_side"),
@@ -120,15 +108,13 @@ def _by_rank(rows: DataFrame, probs: Sequence[float], by: list[str], slots: int)
     # whether it is broadcast.
     wanted = stored(wanted)
 
-    keys = [*by, "_slot"]
-    slots_hit = wanted.select(*keys).distinct()
-    in_slot = Window.partitionBy(*keys).orderBy("_value")
+    keys = [*by, "_slice"]
+    hit = wanted.select(*keys).distinct()
+    in_slice = Window.partitionBy(*keys).orderBy("_value")
     candidates = (
-        slotted.alias("a")
-        .join(slots_hit.alias("b"), _same("a", "b", keys), "left_semi")
-        .groupBy(*keys, "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(in_slot))
+        placed.alias("a")
+        .join(hit.alias("b"), _same("a", "b", keys), "left_semi")
+        .withColumn("_upto", F.sum("_n").over(in_slice))
     )
     picked = (
         candidates.alias("a")
@@ -137,9 +123,10 @@ def _by_rank(rows: DataFrame, probs: Sequence[float], by: list[str], slots: int)
         .select(*(F.col(f"a.{c}") for c in by), "_value", "_prob", "_side", "_weight")
     )
     low, high = (F.max(F.when(F.col("_side") == side, F.col("_value"))) for side in ("low", "high"))
-    per_prob = picked.groupBy(*by, "_prob").agg(
-        (low + (high - low) * F.max("_weight")).alias("_quantile")
-    )
+    weight = F.max("_weight")
+    # Equal sides are not mixed: the mean of two infinities would be no number.
+    mixed = F.when((low == high) | (weight == 0), low).otherwise(low * (1 - weight) + high * weight)
+    per_prob = picked.groupBy(*by, "_prob").agg(mixed.alias("_quantile"))
     # One entry per probability, put back in the order asked for.
     by_prob = F.map_from_entries(F.collect_list(F.struct("_prob", "_quantile")))
     return (
@@ -150,15 +137,13 @@ def _by_rank(rows: DataFrame, probs: Sequence[float], by: list[str], slots: int)
     )
 
 
-def with_group_median(
-    df: DataFrame, value: str, by: str, name: str, *, in_memory_rows: int = IN_MEMORY_ROWS
-) -> DataFrame:
+def with_group_median(df: DataFrame, value: str, by: str, name: str) -> DataFrame:
     """Every row of ``df`` with the exact median of its group.
 
     A window over the group would bring each group to one task. Here the medians
     are a small stored table joined back: broadcast when its size allows it,
     otherwise a sort-merge join whose hot partitions Spark splits.
     """
-    medians = exact_quantiles(df, value, [0.5], [by], in_memory_rows=in_memory_rows)
+    medians = exact_quantiles(df, value, [0.5], [by])
     medians = stored(medians.select(F.col(by).alias("_group"), F.col("quantiles")[0].alias(name)))
     return df.join(medians, F.col(by).eqNullSafe(F.col("_group")), "left").drop("_group")

@@ -35,9 +35,15 @@ def expected(df, by):
 
 
 @pytest.mark.parametrize("by", [(), ("g",)])
-@pytest.mark.parametrize("in_memory_rows, slots", [(10**6, 8), (0, 1), (0, 7), (0, 256)])
-def test_both_strategies_match_numpy(skewed, by, in_memory_rows, slots):
-    result = exact_quantiles(skewed, "v", PROBS, by, in_memory_rows=in_memory_rows, slots=slots)
+@pytest.mark.parametrize("slices", ["1", "3", "40"])
+def test_groups_match_numpy_however_they_are_cut(spark, skewed, by, slices):
+    for name, setting in (("shuffle.partitions", slices), ("adaptive.coalescePartitions.enabled", "false")):
+        spark.conf.set(f"spark.sql.{name}", setting)
+    try:
+        result = exact_quantiles(skewed, "v", PROBS, by)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     want = expected(skewed, by)
     got = {
         tuple("<null>" if k is None else k for k in row[:-1]): row.quantiles
@@ -48,30 +54,27 @@ def test_both_strategies_match_numpy(skewed, by, in_memory_rows, slots):
         np.testing.assert_allclose(quantiles, want[key], rtol=1e-12, err_msg=str(key))
 
 
-@pytest.mark.parametrize("in_memory_rows", [10, 0])
-def test_no_rows_no_quantiles(skewed, in_memory_rows):
+def test_no_rows_no_quantiles(skewed):
     for empty in (skewed.limit(0), skewed.filter("g = 'void'")):
         for by in ((), ("g",)):
-            found = exact_quantiles(empty, "v", [0.5], by, in_memory_rows=in_memory_rows)
+            found = exact_quantiles(empty, "v", [0.5], by)
             assert [row for row in found.collect() if row.quantiles is not None] == []
 
 
 def test_order_of_the_probabilities_is_kept(skewed):
-    row = exact_quantiles(skewed, "v", [0.9, 0.1, 0.5], in_memory_rows=0).first()
+    row = exact_quantiles(skewed, "v", [0.9, 0.1, 0.5]).first()
     assert row.quantiles[0] > row.quantiles[2] > row.quantiles[1]
 
 
 def test_exact_interpolates_and_approximate_does_not(spark):
     df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 4)], "v double")
-    for rows in (10, 0):
-        assert exact_quantiles(df, "v", [0.5], in_memory_rows=rows).first().quantiles == [2.5]
+    assert exact_quantiles(df, "v", [0.5]).first().quantiles == [2.5]
     assert df.agg(approx_median("v")).first()[0] == 2.0
     assert df.agg(approx_boundaries("v", 2)).first()[0] == [1.0, 2.0, 4.0]
 
 
-@pytest.mark.parametrize("in_memory_rows", [10**6, 0])
-def test_group_median_keeps_every_row(skewed, in_memory_rows):
-    result = with_group_median(skewed, "v", "g", "mid", in_memory_rows=in_memory_rows)
+def test_group_median_keeps_every_row(skewed):
+    result = with_group_median(skewed, "v", "g", "mid")
     assert result.columns == ["g", "v", "mid"]
     assert result.count() == skewed.count()
     assert result.filter("g is null and mid is null").count() == 0
@@ -81,9 +84,22 @@ def test_group_median_keeps_every_row(skewed, in_memory_rows):
     assert joined.filter("abs(mid - want) > 1e-9").count() == 0
 
 
+def test_infinities_and_zeros(spark):
+    inf = float("inf")
+    df = spark.createDataFrame(
+        [("a", 1.0), ("a", 2.0), ("a", inf), ("a", inf), ("b", inf), ("b", inf), ("b", inf)]
+        + [("c", -0.0), ("c", 0.0), ("d", -inf), ("d", -inf), ("d", 5.0)],
+        "g string, v double",
+    )
+    found = {r.g: r.quantiles for r in exact_quantiles(df, "v", [0.0, 0.25, 0.5, 0.9], ["g"]).collect()}
+    assert found == {
+        "a": [1.0, 1.75, inf, inf], "b": [inf] * 4, "c": [0.0] * 4, "d": [-inf, -inf, -inf, 5.0 - inf],
+    }
+
+
 def test_a_group_is_never_sorted_or_collected_whole(skewed, capsys):
-    exact_quantiles(skewed, "v", [0.5], ["g"], in_memory_rows=0, slots=64).explain()
+    exact_quantiles(skewed, "v", [0.5], ["g"]).explain()
     plan = capsys.readouterr().out
     assert "percentile(" not in plan and "SinglePartition" not in plan
-    # The only window runs within slots, after equal values were merged.
-    assert "hashpartitioning(g#" in plan and "_slot" in plan
+    # The only window runs within slices, whose number follows the shuffle partitions.
+    assert "hashpartitioning(g#" in plan and "_slice" in plan
