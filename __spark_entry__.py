@@ -27,7 +27,6 @@ except ImportError:
     corpus_pipeline = llm_queries = None
 
 SPLIT_DATE = "2000-01-01"
-YEARS = (1998, 1999, 2000)
 
 
 def _lots(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,13 +89,9 @@ def entry(spark: SparkSession) -> DataFrame:
 # --- Queries that need more than one call ------------------------------------------
 
 
-def _multi_year_union(spark: SparkSession, folder: str) -> DataFrame:
-    first, *others = (
-        raw_lots(spark, folder, year).withColumn("source_year", F.lit(year)) for year in YEARS
-    )
-    for lots in others:
-        first = first.unionByName(lots)
-    return first.groupBy("source_year").agg(
+def _lots_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    lots = raw_lots(spark, folder).withColumn("source_year", F.year(F.to_date("date_mutation")))
+    return lots.groupBy("source_year").agg(
         F.count(F.lit(1)).alias("nb_lots"), F.count_distinct("id_mutation").alias("nb_mutations")
     )
 
@@ -136,13 +131,13 @@ def _commune_median_feature(spark: SparkSession, folder: str) -> DataFrame:
 
 def _model_predictions(spark: SparkSession, folder: str) -> DataFrame:
     train, test = (stored(part) for part in _split(spark, folder))
-    model = pricing.train_model(train, max_iter=10)
+    model = pricing.train_model(train)
     return pricing.predict(model, test).select("id_mutation", "prix", "prediction")
 
 
 def _model_vs_baseline(spark: SparkSession, folder: str) -> DataFrame:
     train, test = (stored(part) for part in _split(spark, folder))
-    model = pricing.train_model(train, max_iter=10)
+    model = pricing.train_model(train)
     return pricing.compare_with_baseline(
         pricing.predict_baseline(train, test), pricing.predict(model, test)
     )
@@ -182,7 +177,7 @@ def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             6,
             "survival_rate",
         ),
-        "multi_year_union": _multi_year_union,
+        "multi_year_union": _lots_by_year,
         # star schema
         "staging_sales": lambda s, d: _dates_as_text(warehouse.stage_sales(_clean(s, d))),
         "dim_commune": lambda s, d: warehouse.dim_commune(warehouse.stage_sales(_clean(s, d))),
@@ -207,8 +202,8 @@ def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stats_by_type": lambda s, d: market.stats_by_type(_clean(s, d)),
         "top_communes": lambda s, d: market.top_communes(_clean(s, d)),
         "yearly_evolution": lambda s, d: market.yearly_evolution(_clean(s, d)),
-        "commune_ranking_having": lambda s, d: market.commune_ranking(_clean(s, d), 130),
-        "commune_ranking_cte": lambda s, d: market.commune_ranking_sql(_clean(s, d), 130),
+        "commune_ranking_having": lambda s, d: market.commune_ranking(_clean(s, d)),
+        "commune_ranking_cte": lambda s, d: market.commune_ranking_sql(_clean(s, d)),
         "sale_vs_commune_median": lambda s, d: _rounded(
             market.sale_vs_commune(_table(s, d, "nom_commune", "prix", "surface_bati")),
             9,
@@ -220,7 +215,9 @@ def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "commune_yoy": lambda s, d: market.commune_yoy(_clean(s, d)),
         "price_quintiles": lambda s, d: market.price_quintiles(_clean(s, d)),
-        "rank_family": lambda s, d: market.rank_family(_clean(s, d), "nb_pieces", 40),
+        "rank_family": lambda s, d: market.rank_family(
+            _table(s, d, "nom_commune", "id_mutation", "nb_pieces"), "nb_pieces"
+        ),
         "commune_share": lambda s, d: _rounded(market.commune_share(_clean(s, d)), 6, "part"),
         # exploration
         "raw_shape": lambda s, d: profiling.shape(raw_lots(s, d).select(*RAW_LOT.fieldNames())),
@@ -399,9 +396,9 @@ def _sales_oracles() -> dict[str, str]:
         ),
         "multi_year_union": (
             _RAW,
-            f"""SELECT year(date_mutation::date)::integer AS source_year, count(*) AS nb_lots,
-                       count(DISTINCT id_mutation) AS nb_mutations
-                FROM raw WHERE year(date_mutation::date) IN {YEARS} GROUP BY 1""",
+            """SELECT year(date_mutation::date)::integer AS source_year, count(*) AS nb_lots,
+                      count(DISTINCT id_mutation) AS nb_mutations
+               FROM raw GROUP BY 1""",
         ),
         "staging_sales": (
             _STAGED,
@@ -485,13 +482,13 @@ def _sales_oracles() -> dict[str, str]:
         "commune_ranking_having": (
             _CLEAN,
             f"""SELECT nom_commune, count(*) AS nb_ventes, {_M2} FROM clean
-                GROUP BY nom_commune HAVING count(*) >= 130""",
+                GROUP BY nom_commune HAVING count(*) >= 100""",
         ),
         "commune_ranking_cte": (
             _CLEAN,
             f""", g AS (SELECT nom_commune, count(*) AS nb_ventes, {_M2}
                         FROM clean GROUP BY nom_commune)
-            SELECT * FROM g WHERE nb_ventes >= 130""",
+            SELECT * FROM g WHERE nb_ventes >= 100""",
         ),
         "sale_vs_commune_median": (
             _CLEAN,
@@ -532,10 +529,10 @@ def _sales_oracles() -> dict[str, str]:
         "rank_family": (
             _CLEAN,
             """SELECT nom_commune, id_mutation, nb_pieces,
-                      (row_number() OVER (c ORDER BY nb_pieces DESC, id_mutation))::integer AS rang,
-                      (rank() OVER (c ORDER BY nb_pieces DESC))::integer AS rang_saut,
-                      (dense_rank() OVER (c ORDER BY nb_pieces DESC))::integer AS rang_dense
-               FROM clean WINDOW c AS (PARTITION BY nom_commune) QUALIFY rang <= 40""",
+                      row_number() OVER (c ORDER BY nb_pieces DESC, id_mutation) AS rang,
+                      rank() OVER (c ORDER BY nb_pieces DESC) AS rang_saut,
+                      dense_rank() OVER (c ORDER BY nb_pieces DESC) AS rang_dense
+               FROM clean WINDOW c AS (PARTITION BY nom_commune)""",
         ),
         "commune_share": (
             _CLEAN,

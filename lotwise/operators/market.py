@@ -10,7 +10,8 @@ from lotwise.functions.quantiles import (
     approx_median,
     with_group_median,
 )
-from lotwise.functions.ranking import with_ntile
+from lotwise.functions.ranking import with_ntile, with_position
+from lotwise.sources.scratch import stored
 
 
 def _sale_count() -> Column:
@@ -136,25 +137,42 @@ def top_sales_per_commune(sales: DataFrame, communes: int = 5, n: int = 3) -> Da
     )
 
 
-def rank_family(sales: DataFrame, value: str = "prix", n: int = 10) -> DataFrame:
-    """The three ways of ranking the top ``n`` sales of each commune.
+def rank_family(sales: DataFrame, value: str = "prix") -> DataFrame:
+    """The three ways of ranking all sales of each commune by ``value``, largest first.
 
-    ``rang`` never ties, ``rang_saut`` leaves a gap after ties, ``rang_dense`` does
-    not. Rows cut by ``rang`` rank after the kept ones, so the other two ranks come
-    out right on the kept rows alone, which are few however large the commune.
+    ``rang`` never ties (the sale id decides), ``rang_saut`` leaves a gap after ties,
+    ``rang_dense`` does not. A window would sort each commune in one task. Here the sales
+    take positions in one global order, range-partitioned, less where their commune
+    starts; the distinct values take theirs in the same way. ``sales`` is read twice and
+    should be a stored table.
     """
-    commune = Window.partitionBy("nom_commune")
-    kept = sales.withColumn(
-        "rang", F.row_number().over(commune.orderBy(F.desc(value), "id_mutation"))
-    ).filter(F.col("rang") <= n)
-    tied = commune.orderBy(F.desc(value))
-    return kept.select(
+    narrow = sales.select("nom_commune", "id_mutation", value)
+    largest_first = ["nom_commune", F.desc(value)]
+    placed = stored(with_position(narrow, [*largest_first, "id_mutation"]).drop("n_rows"))
+    tied = placed.groupBy("nom_commune", value).agg(F.min("position").alias("_first"))
+    tied = stored(with_position(stored(tied), largest_first).drop("n_rows"))
+    starts = tied.groupBy("nom_commune").agg(
+        (F.min("_first") - 1).alias("_sales_before"), (F.min("position") - 1).alias("_values_before")
+    )
+    tied = stored(
+        tied.alias("t")
+        .join(starts.alias("s"), F.col("t.nom_commune").eqNullSafe(F.col("s.nom_commune")))
+        .select(
+            F.col("t.nom_commune").alias("_commune"),
+            F.col(f"t.{value}").alias("_tied"),
+            "_sales_before",
+            (F.col("_first") - F.col("_sales_before")).alias("rang_saut"),
+            (F.col("position") - F.col("_values_before")).alias("rang_dense"),
+        )
+    )
+    same = F.col("nom_commune").eqNullSafe(F.col("_commune")) & F.col(value).eqNullSafe(F.col("_tied"))
+    return placed.join(tied, same).select(
         "nom_commune",
         "id_mutation",
         value,
-        "rang",
-        F.rank().over(tied).alias("rang_saut"),
-        F.dense_rank().over(tied).alias("rang_dense"),
+        (F.col("position") - F.col("_sales_before")).alias("rang"),
+        "rang_saut",
+        "rang_dense",
     )
 
 
@@ -188,7 +206,8 @@ def commune_yoy(sales: DataFrame, communes: int = 10) -> DataFrame:
 
 def price_quintiles(sales: DataFrame, tiles: int = 5) -> DataFrame:
     """Equal-sized price buckets: count, price range and median area of each."""
-    narrow = sales.select("prix", "id_mutation", "surface_bati")
+    # Stored, since the sampling of the range partitioning reads them as well.
+    narrow = stored(sales.select("prix", "id_mutation", "surface_bati"))
     return (
         with_ntile(narrow, tiles, ["prix", "id_mutation"], "quintile")
         .groupBy("quintile")

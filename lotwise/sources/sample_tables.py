@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from lotwise.schemas import LOT_ORDER, RAW_LOT
 
 
-def raw_lots(spark: SparkSession, folder: str, year: int | None = None) -> DataFrame:
-    """Raw lots of all orders, or of the orders of one calendar year.
+def raw_lots(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw lots of all orders.
 
-    Orders meet customers and nations before the line items, so the largest table
-    is shuffled once only. Spark broadcasts customers and nations when their files
+    Orders meet customers and nations before the line items, and both sides join on the
+    text id that sales are grouped by later, so the largest table is shuffled once. Spark broadcasts customers and nations when their files
     are small. Line items are never broadcast, however small the estimate after
     pruning: the merge join also lets Spark split an order with very many of them.
     """
@@ -23,16 +23,12 @@ def raw_lots(spark: SparkSession, folder: str, year: int | None = None) -> DataF
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
     orders = table("orders")
-    if year is not None:
-        first, after = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
-        orders = orders.filter((F.col("o_orderdate") >= first) & (F.col("o_orderdate") < after))
-
     located = F.col("o_orderkey") % 31 != 0
     sales = (
         orders.join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
-            "o_orderkey",
+            F.col("o_orderkey").cast("string").alias("id_mutation"),
             F.col("o_orderdate").cast("date").cast("string").alias("date_mutation"),
             F.when(
                 (F.col("o_orderstatus") == "P") & (F.col("o_custkey") % 4 == 0), "Adjudication"
@@ -50,7 +46,7 @@ def raw_lots(spark: SparkSession, folder: str, year: int | None = None) -> DataF
         )
     )
     lots = table("lineitem").select(
-        "l_orderkey",
+        F.col("l_orderkey").cast("string").alias("id_mutation"),
         F.when(F.col("l_returnflag") == "A", "Appartement")
         .when(F.col("l_returnflag") == "R", "Dependance")
         .when((F.col("l_returnflag") == "N") & (F.col("l_linenumber") % 2 == 0), "Maison")
@@ -66,7 +62,6 @@ def raw_lots(spark: SparkSession, folder: str, year: int | None = None) -> DataF
     )
     return (
         lots.hint("merge")
-        .join(sales, F.col("l_orderkey") == F.col("o_orderkey"))
-        .withColumn("id_mutation", F.col("l_orderkey").cast("string"))
+        .join(sales, "id_mutation")
         .select(*RAW_LOT.fieldNames(), LOT_ORDER)
     )

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lotwise.operators import market
@@ -82,11 +83,28 @@ def test_top_sales_have_at_most_n_rows_per_commune(table):
 
 def test_rank_family_on_ties(sales):
     df = sales(*({"prix": p} for p in (500.0, 400.0, 400.0, 300.0)))
-    rows = sorted(market.rank_family(df, n=4).collect(), key=lambda r: r.rang)
+    rows = sorted(market.rank_family(df).collect(), key=lambda r: r.rang)
     assert [(r.rang, r.rang_saut, r.rang_dense) for r in rows] == [
         (1, 1, 1), (2, 2, 2), (3, 2, 2), (4, 4, 3),
     ]
-    assert market.rank_family(df, n=2).count() == 2
+
+
+def test_ranks_equal_the_window_functions(spark, sales):
+    rows = [
+        {"nom_commune": None if i % 11 == 0 else "hot" if i % 3 else f"c{i % 7}", "prix": i * 13 % 29 * 1.0}
+        for i in range(400)
+    ]
+    df = sales(*rows).repartition(5)
+    commune = Window.partitionBy("nom_commune")
+    tied = commune.orderBy(F.desc("prix"))
+    plain = df.select(
+        "nom_commune", "id_mutation", "prix",
+        F.row_number().over(commune.orderBy(F.desc("prix"), "id_mutation")),
+        F.rank().over(tied), F.dense_rank().over(tied),
+    )
+    ours = market.rank_family(df)
+    assert sorted(map(tuple, ours.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    assert market.rank_family(df.limit(0)).count() == 0
 
 
 def test_change_compares_with_the_previous_year_present(table):
