@@ -39,9 +39,9 @@ def drop_missing_price(lots: DataFrame) -> DataFrame:
 
 
 def _lot_position(lots: DataFrame) -> Column:
-    if LOT_ORDER in lots.columns:
-        return F.col(LOT_ORDER)
-    return F.monotonically_increasing_id()
+    if LOT_ORDER not in lots.columns:
+        raise ValueError(f"Lots need a column {LOT_ORDER!r}: rows of a DataFrame have no order")
+    return F.col(LOT_ORDER)
 
 
 def _sale_aggregates(kept: Column) -> dict[str, Column]:

@@ -20,7 +20,7 @@ TARGET = "prix"
 FEATURES = (*NUMERIC_FEATURES, "mois", *CATEGORICAL_FEATURES)
 
 SPLIT_DATE = "2024-01-01"
-MAX_ITER, LEARNING_RATE, MAX_DEPTH, SEED = 300, 0.08, 8, 42
+MAX_ITER, LEARNING_RATE, MAX_DEPTH, MIN_LEAF, SEED = 300, 0.08, 8, 20, 42
 # -------------------------------------------------------------------------------
 
 # Numeric features that may be missing after the cleaning.
@@ -32,9 +32,9 @@ def time_based_split(
 ) -> tuple[DataFrame, DataFrame]:
     """Sales before the date, and sales from the date on.
 
-    Two filters that Parquet can prune by when the date column is a real date.
+    ISO dates sort as text, so both filters reach the scan, be the column text or a date.
     """
-    sold, limit = F.to_date("date_mutation"), F.lit(split_date).cast("date")
+    sold, limit = F.col("date_mutation"), F.lit(split_date)
     return sales.filter(sold < limit), sales.filter(sold >= limit)
 
 
@@ -111,6 +111,7 @@ def price_pipeline(max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH) -> Pipe
                 stepSize=LEARNING_RATE,
                 maxDepth=max_depth,
                 maxBins=255,
+                minInstancesPerNode=MIN_LEAF,
                 seed=SEED,
                 checkpointInterval=10,
             ),
