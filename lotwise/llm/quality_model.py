@@ -159,14 +159,15 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFra
 
     Trusted texts are all documents labelled of good quality.
     """
-    good = (
-        labels.filter("quality = 1").select(F.col("doc_id").alias(id_col)).distinct()
-        .withColumn("trusted", F.lit(True))
+    good = labels.filter("quality = 1").select(F.col("doc_id").alias(id_col)).distinct()
+    # The only shuffle of texts, and the same one however few the labels are; perplexities
+    # are taken where the texts are read, and meet the labels without them.
+    texts = docs.select(id_col, "text").hint("merge").join(good, id_col)
+    logs = log_probabilities(count_grams(texts))
+    marked = with_perplexity(docs.select(id_col, "lang", "text"), logs).join(
+        good.withColumn("trusted", F.lit(True)), id_col, "left"
     )
-    marked = docs.select(id_col, "lang", "text").join(good, id_col, "left")
-    marked = marked.withColumn("trusted", F.coalesce("trusted", F.lit(False)))
-    logs = log_probabilities(count_grams(marked.filter("trusted")))
-    scored = stored(with_perplexity(marked, logs))
+    scored = stored(marked.withColumn("trusted", F.coalesce("trusted", F.lit(False))))
     trusted = scored.filter("trusted and perplexity is not null")
     quantile = F.percentile_approx("perplexity", QUANTILE, 10_000)
     by_language = trusted.groupBy("lang").agg((quantile * SLACK).alias("own"))
