@@ -71,7 +71,7 @@ class Piece:
 
     def longest(self, tokens: int, loss: int) -> int:
         """Tokens from the start that keep to both limits."""
-        if self.bearing <= loss:
+        if self.bearing <= loss or tokens <= loss:
             return min(tokens, len(self.ids))
         return min(tokens, int(np.searchsorted(np.cumsum(self.loss), loss, "right")))
 
@@ -121,7 +121,10 @@ class Packer:
             value = np.where(fits, needs @ (room / self.scale**2), -1.0)
             best = int(value.argmax())
             if value[best] < 0:
-                lengths = np.array([p.longest(int(room[0]), int(room[2])) for p in self.pool])
+                # As many tokens as the loss limit leaves always fit; only beyond are they counted.
+                lengths = np.minimum(needs[:, 0], room[0]).astype(int)
+                for i in np.flatnonzero((lengths > room[2]) & (needs[:, 2] > room[2])):
+                    lengths[i] = self.pool[i].longest(int(room[0]), int(room[2]))
                 best = int(lengths.argmax())
                 if not lengths[best]:
                     break
