@@ -37,7 +37,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pieces of training sequences."""
-    return packing.pack_documents(docs, PACKING_TOKENIZER)
+    return packing.pack_documents(docs, PACKING_TOKENIZER, encode_special_tokens=False)
 
 
 STAGES = [

@@ -219,21 +219,47 @@ def ranks_of(definition: str) -> dict[bytes, int]:
     }
 
 
+def special_ids(definition: str) -> dict[str, int]:
+    """The ids of the added tokens, which the ``tokenizers`` library cuts out of a text first.
+
+    Files whose added tokens take spaces or word bounds into account, begin alike or are not
+    special are refused.
+    """
+    added = json.loads(definition)["added_tokens"]
+    names = [t["content"] for t in added]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or not t["special"] for t in added):
+        raise ValueError("Not plain special tokens.")
+    if any(a != b and a.startswith(b) for a in names for b in names):
+        raise ValueError("A special token begins with another.")
+    return {t["content"]: t["id"] for t in added}
+
+
 @lru_cache(maxsize=2)
 def _encoding(definition: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(
-        "own", pat_str=pattern, mergeable_ranks=ranks_of(definition), special_tokens={}
+        "own",
+        pat_str=pattern,
+        mergeable_ranks=ranks_of(definition),
+        special_tokens=special_ids(definition),
     )
 
 
 def tokenize(
-    docs: DataFrame, path: str, text: str = "text", end_id: int | None = END_ID, target: str = "ids"
+    docs: DataFrame,
+    path: str,
+    text: str = "text",
+    end_id: int | None = END_ID,
+    target: str = "ids",
+    encode_special_tokens: bool = True,
 ) -> DataFrame:
     """``docs`` with packed ids of a byte-level tokenizer file, then ``end_id``.
 
-    Strings of special tokens in a text are ordinary text. The definition is broadcast; its
-    size does not depend on the data.
+    ``encode_special_tokens`` is the switch of that name of ``tokenizers``: with it strings of
+    special tokens in a text are ordinary text, without it (the default there, and the way of
+    op2 and the pipeline) they become their ids. The definition is broadcast; its size does
+    not depend on the data.
     """
+    allowed = set() if encode_special_tokens else "all"
     with open(path, encoding="utf-8") as file:
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
     end = pack_ids([end_id]) if end_id is not None else b""
@@ -241,7 +267,8 @@ def tokenize(
     def function(column: pa.Array) -> list[bytes]:
         encoding = _encoding(definition.value, PATTERN)
         return [
-            encoding.encode_to_numpy(t, disallowed_special=()).tobytes() + end for t in texts_of(column)
+            encoding.encode_to_numpy(t, allowed_special=allowed, disallowed_special=()).tobytes() + end
+            for t in texts_of(column)
         ]
 
     return with_binary(docs, text, target, function)
@@ -274,6 +301,11 @@ def conversation_examples(conversations: DataFrame, path: str, id_col: str = "co
     )
 
 
-def pack_documents(docs: DataFrame, path: str, limits: Limits = Limits()) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, path: str, limits: Limits = Limits(), encode_special_tokens: bool = True
+) -> DataFrame:
     """The pieces of all documents, each tokenised whole and ended by id 1."""
-    return pack(tokenize(docs.select("doc_id", "text"), path).drop("text"), limits)
+    ids = tokenize(
+        docs.select("doc_id", "text"), path, encode_special_tokens=encode_special_tokens
+    )
+    return pack(ids.drop("text"), limits)

@@ -29,7 +29,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     docs = lambda s, d: table(s, d, "documents")
     return {
         "op1_line_dedup": lambda s, d: line_dedup.digest(docs(s, d)),
-        "op2_packing": lambda s, d: packing.pack_documents(docs(s, d), PACKING_TOKENIZER),
+        "op2_packing": lambda s, d: packing.pack_documents(
+            docs(s, d), PACKING_TOKENIZER, encode_special_tokens=False
+        ),
         "op3_embedding_links": lambda s, d: embedding_links.link_vectors(table(s, d, "embeddings")),
         "op4_toxicity": lambda s, d: toxicity.score(
             docs(s, d).select("doc_id", "text"), table(s, d, "labels")
