@@ -1,27 +1,37 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney model of characters.
-
-The model is trained on the trusted texts, all of them. Characters fall into ``ALPHABET``
-classes (letters by folded form, the other kinds of signs by kind), so the numbers of n-grams
-are bounded, whatever the data: counts are summed in shards by Spark, joined with those of
-their contexts to discounts, back-off weights and probabilities, and the finished table of
-``ALPHABET ** ORDER`` log probabilities is of a fixed size. A document's perplexity is taken
-over its whole text. Documents of a language stay if their perplexity is at most the
-``QUANTILE`` of the trusted documents of that language, times ``SLACK``.
-
-Null and empty texts have no perplexity (null) and do not stay. Languages without trusted
-text, null among them, are held against the quantile of all. Without any trusted text
-every document with characters stays. Rows that repeat an id are judged each; an empty table
-gives an empty result.
+"""Quality by perplexity under an interpolated modified Kneser-Ney model of words.
+
+The model is trained on the trusted texts, all of them: n-grams of words (hashed, orders 1 to
+3) are counted into a stored table per order, and joined with the sums over their contexts and
+with the order below to probabilities. What it gathers grows with the input. The probability
+of a word that no trusted text has is its spelling's, under a like model of the characters of
+the trusted vocabulary; only that table, ``ALPHABET ** ORDER`` numbers, is of a fixed size and
+broadcast. A document's perplexity is taken over all its words, by joining its distinct
+n-grams with those of the corpus; n-grams of very many documents are split by adaptive execution.
+
+Trusted texts fall into ``FOLDS`` parts by their hash, so equal texts into one, and each is
+judged by a model of the other parts; all other documents by the model of all. Both are
+columns of the same tables. Documents of a language stay if their perplexity is at most the
+``QUANTILE`` of these held-out perplexities of the trusted documents of that language, times
+``SLACK``.
+
+Words are runs of letters, digits and underscores, ideographs, kana and other signs but spaces
+singly; case counts. Texts without words, null among them, have no perplexity (null) and do
+not stay. Languages without trusted text, null among them, are held against the quantile of
+all. Without any trusted text every document with words stays. Rows that repeat an id are
+judged each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import map_arrow, small_batches, table as read_table, texts_of
@@ -31,6 +41,11 @@ ORDER = 4
 ALPHABET = 40
 QUANTILE = 0.99
 SLACK = 1.1
+FOLDS = 4
+MODELS = range(FOLDS + 1)  # model 0: all trusted texts; model m: those outside part m
+SINGLE = "\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+WORD = re.compile(f"[{SINGLE}]|[^\\W{SINGLE}]+|[^\\w\\s]")
+START = np.uint64(0x5851F42D4C957F2D)
 
 
 def _class_table() -> np.ndarray:
@@ -134,24 +149,200 @@ def log_probabilities(counts: DataFrame) -> np.ndarray:
     return np.log(np.maximum(below, 1e-12)).astype(np.float32)
 
 
-def with_perplexity(docs: DataFrame, logs: np.ndarray) -> DataFrame:
-    """Columns of ``docs`` but the text, with ``perplexity``."""
-    shared = docs.sparkSession.sparkContext.broadcast(logs)
-    carried = [c for c in docs.columns if c not in ("text", "perplexity")]
+def _word_hashes(words: list[str]) -> np.ndarray:
+    codes, distinct = pd.factorize(np.array(words, object))
+    hashes = pd.util.hash_array(np.asarray(distinct, object), categorize=False)
+    return np.asarray(hashes, np.uint64)[codes]
+
+
+def document_grams(docs: DataFrame) -> DataFrame:
+    """``(row, fold, w1, w2, w3, n)``: distinct word 3-grams of each row of ``docs``, with counts.
+
+    Words are hashes; two starting marks come before the first.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 4 << 20):
+            lists = [WORD.findall(t) for t in texts_of(batch.column(2))]
+            hashes, at = _word_hashes([w for words in lists for w in words]), 0
+            picked, counted, sizes = [], [], []
+            for words in lists:
+                padded = np.concatenate([[START, START], hashes[at : at + len(words)]])
+                at += len(words)
+                grams = np.stack([padded[:-2], padded[1:-1], padded[2:]])
+                mixed = (grams[0] * np.uint64(0x9E3779B97F4A7C15)) ^ (grams[0] >> np.uint64(31))
+                mixed = (mixed + grams[1]) * np.uint64(0xBF58476D1CE4E5B9)
+                mixed = ((mixed ^ (mixed >> np.uint64(29))) + grams[2]) * np.uint64(0x94D049BB133111EB)
+                _, first, counts = np.unique(mixed, return_index=True, return_counts=True)
+                picked.append(grams[:, first])
+                counted.append(counts)
+                sizes.append(len(first))
+            keys = np.concatenate(picked, axis=1).view(np.int64)
+            owners = [np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, owners), *map(pa.array, keys), pa.array(np.concatenate(counted))],
+                names=["row", "fold", "w1", "w2", "w3", "n"],
+            )
+
+    schema = "row long, fold int, w1 long, w2 long, w3 long, n long"
+    return map_arrow(docs.select("row", "fold", "text"), run, schema)
+
+
+def vocabulary(docs: DataFrame) -> DataFrame:
+    """``(w3, word, t0, ...)``: every word, and whether the texts of each model have it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            found = {}
+            for fold, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                found.setdefault(fold, set()).update(WORD.findall(text))
+            for fold, words in found.items():
+                if words:
+                    distinct = sorted(words)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(_word_hashes(distinct).view(np.int64)),
+                            pa.array(distinct, pa.string()),
+                            pa.array(np.full(len(distinct), fold, np.int32)),
+                        ],
+                        names=["w3", "word", "fold"],
+                    )
+
+    words = map_arrow(docs.select("fold", "text"), run, "w3 long, word string, fold int")
+    has = [F.max(_trains(m).cast("int")).alias(f"t{m}") for m in MODELS]
+    return words.groupBy("w3").agg(F.min("word").alias("word"), *has)
+
+
+def _trains(m: int) -> Column:
+    """Whether a row's text is among those of model ``m``."""
+    return (F.col("fold") > 0) & (F.col("fold") != m)
+
+
+def spelled(words: DataFrame) -> DataFrame:
+    """``(w3, l0, ...)``: log probability of each word's characters and its end, per model."""
+    ended = F.concat("word", F.lit(" ")).alias("text")
+    tables = [
+        log_probabilities(count_grams(words.filter(F.col(f"t{m}") == 1).select(ended))) for m in MODELS
+    ]
+    shared = words.sparkSession.sparkContext.broadcast(np.stack(tables))
+    names = [f"l{m}" for m in MODELS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            found = []
-            for text in texts_of(batch.column(len(carried))):
-                logs = shared.value[grams_of(text)]
-                found.append(float(np.exp(-logs.mean(dtype=np.float64))) if len(logs) else None)
+            grams = [grams_of(t) for t in texts_of(batch.column(1))]
+            starts = np.cumsum([0, *map(len, grams[:-1])])
+            logs = shared.value[:, np.concatenate(grams)].astype(np.float64)
+            sums = np.add.reduceat(logs, starts, axis=1)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(carried)], pa.array(found, pa.float64())],
-                names=[*carried, "perplexity"],
+                [batch.column(0), *map(pa.array, sums)], names=["w3", *names]
             )
 
-    schema = docs.select(*carried).schema.add("perplexity", "double")
-    return map_arrow(docs.select(*carried, "text"), run, schema)
+    schema = "w3 long, " + ", ".join(f"{name} double" for name in names)
+    return map_arrow(words.select("w3", ended), run, schema)
+
+
+def _word_discounts(grams: DataFrame) -> list[list[float]]:
+    """The three discounts of each model, from counts of counts."""
+    row = grams.agg(
+        *(
+            F.coalesce(F.sum((F.col(f"c{m}") == i).cast("long")), F.lit(0)).alias(f"n{m}_{i}")
+            for m in MODELS
+            for i in range(1, 5)
+        )
+    ).first()
+    found = []
+    for m in MODELS:
+        n = [0, *(float(row[f"n{m}_{i}"]) for i in range(1, 5))]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.0
+        # Every context keeps something for words it has not seen, every seen word something of its own.
+        found.append(
+            [
+                min(0.99 * i, max(0.01 * i, i - (i + 1) * y * n[i + 1] / n[i])) if n[i] and n[1] else i / 2
+                for i in (1, 2, 3)
+            ]
+        )
+    return found
+
+
+def _interpolated(
+    grams: DataFrame, context: list[str], below: DataFrame, low: list[str], keep: list[str]
+) -> DataFrame:
+    """``keep`` and ``l0, ...``: log probability of each n-gram's last word under each model.
+
+    ``grams`` counts them as ``c0, ...``; ``below`` has the log probabilities of one order less by
+    the keys ``low``. Contexts no text of a model has leave it to the order below.
+    """
+    discounts = _word_discounts(grams)
+    cuts = [
+        F.when(F.col(f"c{m}") == 0, 0.0).when(F.col(f"c{m}") == 1, d[0]).when(F.col(f"c{m}") == 2, d[1])
+        .otherwise(d[2])
+        for m, d in zip(MODELS, discounts, strict=True)
+    ]
+    sums = [F.sum(f"c{m}").alias(f"t{m}") for m in MODELS]
+    spare = [F.sum(cuts[m]).alias(f"s{m}") for m in MODELS]
+    if context:
+        joined = grams.join(grams.groupBy(*context).agg(*sums, *spare), context)
+    else:
+        total = grams.agg(*sums, *spare).first()
+        joined = grams.select(
+            "*", *(F.lit(float(total[f"{x}{m}"] or 0)).alias(f"{x}{m}") for x in "ts" for m in MODELS)
+        )
+    joined = joined.join(below, low)
+
+    def log_probability(m: int) -> Column:
+        total, lower = F.greatest(F.col(f"t{m}"), F.lit(1)), F.col(f"l{m}")
+        left = F.col(f"s{m}") / total
+        return (
+            F.when(F.col(f"t{m}") == 0, lower)
+            .when(F.col(f"c{m}") == 0, F.log(left) + lower)
+            .otherwise(F.log((F.col(f"c{m}") - cuts[m]) / total + left * F.exp(lower)))
+        )
+
+    return joined.select(*keep, *(log_probability(m).alias(f"l{m}") for m in MODELS))
+
+
+def word_log_probabilities(docs: DataFrame) -> DataFrame:
+    """``(w1, w2, w3, l0, ...)``: log probability of every 3-gram of ``docs`` under each model,
+    null under models that judge no document with it. ``docs`` has ``row``, ``fold`` and ``text``."""
+    by_fold = [F.sum(F.when(F.col("fold") == m, F.col("n")).otherwise(0)).alias(f"f{m}") for m in MODELS]
+    counted = document_grams(docs).groupBy("w1", "w2", "w3").agg(*by_fold)
+    trusted = [[F.col(f"f{f}") for f in MODELS if f and f != m] for m in MODELS]
+    # An n-gram is judged by model m where a text of part m has it.
+    threes = stored(
+        counted.select(
+            "w1", "w2", "w3",
+            *(reduce(Column.__add__, trusted[m]).alias(f"c{m}") for m in MODELS),
+            *((F.col(f"f{m}") > 0).alias(f"j{m}") for m in MODELS),
+        )
+    )
+    followed = [F.sum((F.col(f"c{m}") > 0).cast("long")).alias(f"c{m}") for m in MODELS]
+    twos = stored(threes.groupBy("w2", "w3").agg(*followed))
+    ones = stored(twos.groupBy("w3").agg(*followed))
+    spelling = spelled(stored(vocabulary(docs)))
+    first = _interpolated(ones, [], spelling, ["w3"], ["w3"])
+    second = stored(_interpolated(twos, ["w2"], first, ["w3"], ["w2", "w3"]))
+    judged = [f"j{m}" for m in MODELS]
+    third = _interpolated(threes, ["w1", "w2"], second, ["w2", "w3"], ["w1", "w2", "w3", *judged])
+    return third.select(
+        "w1", "w2", "w3", *(F.when(F.col(f"j{m}"), F.col(f"l{m}")).alias(f"l{m}") for m in MODELS)
+    )
+
+
+def perplexities(docs: DataFrame) -> DataFrame:
+    """``(row, perplexity)`` of every row with words, by the model of its ``fold``."""
+    key = F.xxhash64("w1", "w2", "w3").alias("g")
+    logs = word_log_probabilities(docs).select(key, *(f"l{m}" for m in MODELS))
+    own = reduce(
+        lambda rest, m: F.when(F.col("fold") == m, F.col(f"l{m}")).otherwise(rest), MODELS, F.lit(None)
+    )
+    sums = (
+        document_grams(docs)
+        .select("row", "fold", key, "n")
+        .join(logs, "g")
+        .groupBy("row")
+        .agg(F.sum(own * F.col("n")).alias("total"), F.sum("n").alias("n"))
+    )
+    return sums.select("row", F.exp(-F.col("total") / F.col("n")).alias("perplexity"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -160,14 +351,18 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFra
     Trusted texts are all documents labelled of good quality.
     """
     good = labels.filter("quality = 1").select(F.col("doc_id").alias(id_col)).distinct()
-    # The only shuffle of texts, and the same one however few the labels are; perplexities
-    # are taken where the texts are read, and meet the labels without them.
-    texts = docs.select(id_col, "text").hint("merge").join(good, id_col)
-    logs = log_probabilities(count_grams(texts))
-    marked = with_perplexity(docs.select(id_col, "lang", "text"), logs).join(
-        good.withColumn("trusted", F.lit(True)), id_col, "left"
+    part = (1 + F.pmod(F.xxhash64("text"), F.lit(FOLDS))).cast("int")
+    # Stored, so that every pass sees the same row numbers.
+    marked = stored(
+        docs.select(id_col, "lang", "text")
+        .join(good.withColumn("trusted", F.lit(True)), id_col, "left")
+        .withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+        .withColumn("fold", F.when(F.col("trusted"), part).otherwise(F.lit(0)))
+        .withColumn("row", F.monotonically_increasing_id())
+    )
+    scored = stored(
+        marked.select("row", id_col, "lang", "trusted").join(perplexities(marked), "row", "left")
     )
-    scored = stored(marked.withColumn("trusted", F.coalesce("trusted", F.lit(False))))
     trusted = scored.filter("trusted and perplexity is not null")
     quantile = F.percentile_approx("perplexity", QUANTILE, 10_000)
     by_language = trusted.groupBy("lang").agg((quantile * SLACK).alias("own"))
