@@ -11,8 +11,7 @@ n-grams with those of the corpus; n-grams of very many documents are split by ad
 Trusted texts fall into ``FOLDS`` parts by their hash, so equal texts into one, and each is
 judged by a model of the other parts; all other documents by the model of all. Both are
 columns of the same tables. Documents of a language stay if their perplexity is at most the
-``QUANTILE`` of these held-out perplexities of the trusted documents of that language, times
-``SLACK``.
+``QUANTILE`` of these held-out perplexities of the trusted documents of that language.
 
 Words are runs of letters, digits and underscores, ideographs, kana and other signs but spaces
 singly; case counts. Texts without words, null among them, have no perplexity (null) and do
@@ -40,7 +39,6 @@ from lotwise.sources.scratch import stored
 ORDER = 4
 ALPHABET = 40
 QUANTILE = 0.99
-SLACK = 1.1
 FOLDS = 4
 MODELS = range(FOLDS + 1)  # model 0: all trusted texts; model m: those outside part m
 SINGLE = "\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
@@ -365,8 +363,8 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFra
     )
     trusted = scored.filter("trusted and perplexity is not null")
     quantile = F.percentile_approx("perplexity", QUANTILE, 10_000)
-    by_language = trusted.groupBy("lang").agg((quantile * SLACK).alias("own"))
-    overall = trusted.agg((quantile * SLACK).alias("p")).first().p
+    by_language = trusted.groupBy("lang").agg(quantile.alias("own"))
+    overall = trusted.agg(quantile.alias("p")).first().p
     limit = F.coalesce("own", F.lit(overall).cast("double"), F.lit(float("inf")))
     return scored.join(by_language, "lang", "left").select(
         F.col(id_col),

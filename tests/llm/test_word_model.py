@@ -100,3 +100,20 @@ def test_the_model_grows_with_the_texts(spark):
         docs = spark.createDataFrame([(i, 1, t) for i, t in enumerate(texts[:n])], "row long, fold int, text string")
         sizes.append(qm.document_grams(docs).groupBy("w1", "w2", "w3").agg(F.sum("n")).count())
     assert sizes[1] > 2 * sizes[0]
+
+
+def test_the_threshold_is_the_plain_quantile_of_held_out_perplexities(spark):
+    rng = random.Random(11)
+    words = {lang: [f"{lang}{i}" for i in range(60)] for lang in ("en", "fr")}
+    rows = [(i, " ".join(rng.choices(words[lang], k=25)), lang) for i in range(300) for lang in [("en", "fr")[i % 2]]]
+    own = "wholly own words of one text that no other trusted text has at all"
+    docs = spark.createDataFrame([*rows, (500, own, "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in [*range(300), 500]], "doc_id long, quality int")
+    found = qm.judge(docs, labels).collect()
+    for lang in words:
+        ranked = sorted(r.perplexity for r in found if r.lang == lang)
+        plain = ranked[math.ceil(qm.QUANTILE * len(ranked)) - 1]
+        assert {r.threshold for r in found if r.lang == lang} == {plain}
+    # A model that had learned from this text would find it the likeliest of all.
+    strange = next(r for r in found if r.doc_id == 500)
+    assert strange.perplexity == max(r.perplexity for r in found) and not strange.kept
