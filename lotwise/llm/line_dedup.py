@@ -3,8 +3,9 @@ r"""Removal of lines that many documents share, with built-in functions only.
 A text is split at ``\n``; a line's key is the line without ASCII white space at its ends
 and with A-Z in lower case. Keys of ``min_chars`` code points or more that occur in
 ``min_docs`` documents or more lose all their lines everywhere; other lines stay, joined
-by ``\n``. Every row is a document of its own, also where rows repeat an id. Null or
-empty text is one empty line; an empty table gives an empty result.
+by ``\n``. Rows that repeat an id count as one document; rows without an id count as none,
+as in ``count(DISTINCT doc_id)``. Every row is in the result. Null or empty text is one
+empty line; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,14 +29,20 @@ def line_key(line: Column) -> Column:
 
 
 def frequent_lines(
-    docs: DataFrame, min_docs: int = 10, min_chars: int = 1
+    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col: str = "doc_id"
 ) -> DataFrame:
-    """``(h1, h2)``: 128-bit hashes of the keys found in ``min_docs`` documents or more."""
+    """``(h1, h2)``: 128-bit hashes of the keys found in ``min_docs`` documents or more.
+
+    Ids are made distinct under hash and id, which spreads a common line over all tasks; the
+    count by hash then combines in the map tasks.
+    """
     keys = F.array_distinct(F.transform(lines_of(text_or_empty()), line_key))
     return (
-        docs.select(F.explode(keys).alias("key"))
+        docs.filter(F.col(id_col).isNotNull())
+        .select(F.col(id_col).alias("_id"), F.explode(keys).alias("key"))
         .filter(F.length("key") >= min_chars)
-        .select(*hash128(F.col("key")))
+        .select("_id", *hash128(F.col("key")))
+        .distinct()
         .groupBy("h1", "h2")
         .agg(F.count(F.lit(1)).alias("n_docs"))
         .filter(F.col("n_docs") >= min_docs)
@@ -54,7 +61,7 @@ def drop_frequent_lines(
     Rows are told apart by id and hash of the text: equal rows lose the same lines.
     """
     # Stored, so that the join's sides are plain shuffles, which adaptive execution can split.
-    frequent = stored(frequent_lines(docs, min_docs, min_chars))
+    frequent = stored(frequent_lines(docs, min_docs, min_chars, id_col))
     rows = docs.select(
         F.col(id_col).alias("_id"), F.xxhash64(text_or_empty()).alias("_th"),
         F.posexplode(lines_of(text_or_empty())).alias("_pos", "_line"),
