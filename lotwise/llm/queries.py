@@ -16,12 +16,14 @@ from lotwise.llm import (
     packing,
     quality_model,
     suffix_dedup,
+    token_files,
     toxicity,
     warc,
 )
 from lotwise.llm.common import table
 
 PACKING_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -42,6 +44,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": lambda s, d: warc.round_trip(table(s, d, "pages")),
         "op9_suffix_dedup": lambda s, d: suffix_dedup.digest(docs(s, d)),
         "op10_exact_dedup": lambda s, d: exact_dedup.mark_copies(docs(s, d)),
+        "op11_token_files": lambda s, d: token_files.digest(docs(s, d), WORD_TOKENIZER),
     }
 
 
