@@ -11,6 +11,7 @@ from lotwise.llm import (
     byte_bpe,
     embedding_links,
     exact_dedup,
+    lexical_search,
     line_dedup,
     ngram_join,
     packing,
@@ -45,12 +46,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_dedup": lambda s, d: suffix_dedup.digest(docs(s, d)),
         "op10_exact_dedup": lambda s, d: exact_dedup.mark_copies(docs(s, d)),
         "op11_token_files": lambda s, d: token_files.digest(docs(s, d), WORD_TOKENIZER),
+        "op12_lexical_search": lambda s, d: lexical_search.rank_documents(
+            docs(s, d), table(s, d, "benchmark")
+        ),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the rows of the queries that SQL can express."""
     stripped = r"regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '')"
+    lowered = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    terms = rf"unnest(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
     lower = "translate(key, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return {
         "op1_line_dedup": f"""
@@ -82,4 +88,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER copies AS keep_id, count(*) OVER copies AS group_size,
                    doc_id = max(doc_id) OVER copies AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW copies AS (PARTITION BY coalesce(text, ''))""",
+        "op12_lexical_search": f"""
+            WITH words AS (SELECT doc_id, translate({terms}, {lowered}) AS term FROM documents),
+            counted AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+            lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+            totals AS (SELECT count(*) AS docs, sum(n)::bigint AS total FROM lengths),
+            weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)))::bigint AS w
+                        FROM counted, totals GROUP BY term, docs),
+            asked AS (SELECT DISTINCT item_id, translate({terms}, {lowered}) AS term FROM benchmark),
+            scored AS (SELECT item_id, doc_id,
+                              sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total))))::bigint
+                                  AS score
+                       FROM asked JOIN counted USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+                       GROUP BY item_id, doc_id)
+            SELECT item_id, rank::integer AS rank, doc_id, score
+            FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored)
+            WHERE rank <= 10 AND score > 0""",
     }
