@@ -16,6 +16,7 @@ from lotwise.llm import (
     ngram_join,
     packing,
     quality_model,
+    spelling,
     suffix_dedup,
     token_files,
     toxicity,
@@ -49,6 +50,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op12_lexical_search": lambda s, d: lexical_search.rank_documents(
             docs(s, d), table(s, d, "benchmark")
         ),
+        "op13_spelling": lambda s, d: spelling.digest(docs(s, d)),
     }
 
 
