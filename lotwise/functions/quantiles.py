@@ -1,37 +1,23 @@
-"""Medians and other quantiles: approximate in one pass, exact in a few.
+"""Exact medians and other quantiles, interpolated between the two values around the position.
 
-Two families that must not be mixed: the approximate ones return a value of the
-column, the exact ones interpolate between the two values around the position.
+Not to be mixed with those of ``sketches``, which return a value of the column.
 """
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotwise.functions.sketches import rank_error, sketch_size, sketched
 from lotwise.sources.scratch import stored
 
-# Rank error of the sketches is 1/ACCURACY of the group; smaller groups are exact. A
-# sketch has about as many entries, and the reducer of a hot group merges one sketch per
-# map task: 20,000 tasks send it some 20 GB, ten times more accuracy ten times as much.
-ACCURACY = 40_000
-
-# monotonically_increasing_id keeps the row within its partition in these bits.
-_ROW_BITS = 33
-
-
-def approx_median(value: Column | str, accuracy: int = ACCURACY) -> Column:
-    """Median out of a mergeable sketch.
-
-    Each map task ships one sketch of bounded size per group, however many rows
-    the group has there.
-    """
-    return F.percentile_approx(value, 0.5, accuracy)
-
-
-def approx_boundaries(value: Column | str, parts: int, accuracy: int = ACCURACY) -> Column:
-    """Array of ``parts + 1`` values: minimum, inner boundaries, maximum."""
-    return F.percentile_approx(value, [i / parts for i in range(parts + 1)], accuracy)
+SIZE = 4096
+# Rank errors of a sketch between a bracket and the value it is for.
+MARGIN = 6
+# Rows of one bracket that one task may sort; wider ones are narrowed first.
+BRACKET_ROWS = 2_000_000
 
 
 def exact_quantiles(
@@ -40,103 +26,182 @@ def exact_quantiles(
     """Interpolated quantiles per group, as ``by`` columns plus the array ``quantiles``.
 
     Nulls and NaN do not count; a group without values has no row; both zeros are 0.0.
-    ``df`` is read once. The way is the same at every size, and no group is ever brought
-    together:
+    ``df`` is read twice and should be a stored table.
+    """
+    return exact_quantiles_of(df, [value], probs, by).drop("column")
 
-    1. rows per group and distinct value, which combines before the shuffle,
-    2. those in the order of group and value, cut into slices by a range partitioning, so
-       that a large group lies in many slices,
-    3. rows per group and slice, which tell the slice of each wanted rank,
-    4. running counts within the slices so found, to pick the rank.
 
-    The unit of work is a slice: more shuffle partitions make more and smaller ones.
+def exact_quantiles_of(
+    df: DataFrame,
+    values: Sequence[str],
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    size: int = SIZE,
+    bracket_rows: int = BRACKET_ROWS,
+) -> DataFrame:
+    """``by``, ``column`` and ``quantiles``: those of several columns in the same passes.
+
+    The way is the same at every size, and no group is ever brought together:
+
+    1. a sketch of each group and column brackets the values at the wanted ranks,
+    2. where a bracket may hold more than ``bracket_rows`` rows, sketches of what lies in it
+       narrow it, with the rows below counted, until none does,
+    3. rows in the brackets are counted by value, rows between them by the bracket that
+       follows, which combines before the shuffle; running counts over these few rows give
+       the exact ranks.
+
+    The last step sees whether a bracket missed its value, and then fails the job: margins are
+    of several standard errors, so that no quantile is wrong and failure is not to be expected.
     """
-    by, value_order = list(by), [*by, "_value"]
-    counts = stored(
-        df.select(*by, F.col(value).cast("double").alias("_value"))
+    by, keys = list(by), ["column", *by]
+    cells = F.array(*(F.struct(F.lit(v).alias("column"), F.col(v).cast("double").alias("_value")) for v in values))
+    # Adding zero makes both zeros one.
+    base = (
+        df.select(*by, F.inline(cells))
         .filter(F.col("_value").isNotNull() & ~F.isnan("_value"))
-        .groupBy(*value_order)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_value", F.col("_value") + F.lit(0.0))
     )
-    placed = (
-        counts.repartitionByRange(*value_order)
-        .sortWithinPartitions(*value_order)
-        .withColumn("_slice", F.shiftright(F.monotonically_increasing_id(), _ROW_BITS))
+    asked = sorted(set(probs))
+    brackets = _brackets(base, keys, asked, size, bracket_rows)
+    return _picked(base, keys, brackets, asked).select(
+        *keys, F.array(*(F.col("_picked")[asked.index(p)] for p in probs)).alias("quantiles")
     )
-    # Stored, as another evaluation could sample other slices.
-    return _by_rank(stored(placed), list(probs), by)
 
 
-def _same(left: str, right: str, names: Sequence[str]) -> Column:
-    """Null-safe equality on ``names``: the group of a null key keeps its quantiles."""
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}"))
-    return condition
+def _position(prob: float) -> Column:
+    return (F.col("_rows") - 1) * F.lit(prob)
 
 
-def _by_rank(placed: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
-    # 0-based ranks on both sides of each position, and the weight of the upper one.
-    position = (F.col("_size") - 1) * F.col("_prob")
-    ranks = F.explode(
-        F.array(
-            F.struct(F.floor(position).alias("rank"), F.lit("low").alias("side")),
-            F.struct(F.ceil(position).alias("rank"), F.lit("high").alias("side")),
-        )
+def _small(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` held for reuse: a row a column on the driver, a row a group in a stored table,
+    whose true size lets Spark decide whether to broadcast it."""
+    if keys == ["column"]:
+        return F.broadcast(df.sparkSession.createDataFrame(df.collect(), df.schema))
+    return stored(df)
+
+
+def _joined(base: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
+    condition = reduce(
+        Column.__and__, (F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys)
     )
-    group = Window.partitionBy(*by)
-    earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    wanted = (
-        placed.groupBy(*by, "_slice")
-        .agg(F.sum("_n").alias("_n"))
-        .withColumn("_size", F.sum("_n").over(group))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .withColumn("_prob", F.explode(F.array(*map(F.lit, sorted(set(probs))))))
-        .withColumn("_at", ranks)
-        .withColumn("_offset", F.col("_at.rank") - F.col("_before"))
-        .filter((F.col("_offset") >= 0) & (F.col("_offset") < F.col("_n")))
-        .select(
-            *by,
-            "_slice",
-            "_prob",
-            "_offset",
-            F.col("_at.side").alias("_side"),
-            (position - F.floor(position)).alias("_weight"),
-        )
+    found = [F.col(f"r.{c}") for c in brackets.columns if c not in keys]
+    return base.alias("l").join(brackets.alias("r"), condition).select(
+        *(F.col(f"l.{k}") for k in keys), "l._value", *found
     )
-    # Two rows per group and probability; stored so that its true size decides
-    # whether it is broadcast.
-    wanted = stored(wanted)
-
-    keys = [*by, "_slice"]
-    hit = wanted.select(*keys).distinct()
-    in_slice = Window.partitionBy(*keys).orderBy("_value")
-    candidates = (
-        placed.alias("a")
-        .join(hit.alias("b"), _same("a", "b", keys), "left_semi")
-        .withColumn("_upto", F.sum("_n").over(in_slice))
+
+
+def _brackets(base: DataFrame, keys: list[str], probs: list[float], size: int, most: int) -> DataFrame:
+    """``keys, _rows``, and for each probability i the bracket ``_low{i}, _high{i}``."""
+    first = sketched(base, keys, {"_all": F.col("_value")}, size=size)
+    first = first.withColumn("_rows", sketch_size("_all")).withColumns(
+        {f"_below{i}": F.lit(0).cast("long") for i in range(len(probs))}
     )
-    picked = (
-        candidates.alias("a")
-        .join(wanted.alias("b"), _same("a", "b", keys))
-        .filter((F.col("_offset") < F.col("_upto")) & (F.col("_offset") >= F.col("_upto") - F.col("_n")))
-        .select(*(F.col(f"a.{c}") for c in by), "_value", "_prob", "_side", "_weight")
+    everything = {f"_sketch{i}": F.col("_all") for i in range(len(probs))}
+    limits = {f"_{side}{i}": F.lit(v) for i in range(len(probs)) for side, v in (("low", -math.inf), ("high", math.inf))}
+    found = _small(_narrowed(first.withColumns(everything | limits), keys, probs, size), keys)
+    widest = math.inf
+    while True:
+        still = found.agg(F.max(F.greatest("_widest", F.lit(0)))).first()[0] or 0
+        if still <= most or still >= widest:  # ties alone may keep a bracket as it is
+            return found.drop("_widest")
+        widest = still
+        rows = _joined(base, found.drop("_widest"), keys)
+        value = F.col("_value")
+        inside = {
+            f"_sketch{i}": F.when(value.between(F.col(f"_low{i}"), F.col(f"_high{i}")), value)
+            for i in range(len(probs))
+        }
+        below = {f"_below{i}": (value < F.col(f"_low{i}")).cast("long") for i in range(len(probs))}
+        again = sketched(rows, keys, inside, below, size=size)
+        found = _small(_narrowed(_rejoined(again, found.drop("_widest"), keys), keys, probs, size), keys)
+
+
+def _rejoined(sketches: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
+    condition = reduce(
+        Column.__and__, (F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys)
     )
-    low, high = (F.max(F.when(F.col("_side") == side, F.col("_value"))) for side in ("low", "high"))
-    weight = F.max("_weight")
-    # Equal sides are not mixed: the mean of two infinities would be no number.
-    mixed = F.when((low == high) | (weight == 0), low).otherwise(low * (1 - weight) + high * weight)
-    per_prob = picked.groupBy(*by, "_prob").agg(mixed.alias("_quantile"))
-    # One entry per probability, put back in the order asked for.
-    by_prob = F.map_from_entries(F.collect_list(F.struct("_prob", "_quantile")))
+    kept = [F.col(f"r.{c}") for c in brackets.columns if c not in keys and c not in sketches.columns]
+    return sketches.alias("l").join(brackets.alias("r"), condition).select("l.*", *kept)
+
+
+def _narrowed(sketches: DataFrame, keys: list[str], probs: list[float], size: int) -> DataFrame:
+    """Brackets by the sketches of what lies in the brackets so far.
+
+    Ranks asked of a sketch must be constant, so it gives its values on a grid of ranks, and a
+    bracket goes from one grid line below the value's rank to one above.
+    """
+    step = MARGIN * rank_error(size)
+    lines = math.ceil(1 / step)
+    grid = F.array(*(F.lit(min(1.0, line * step)) for line in range(lines + 1)))
+    made, widest = [], [F.lit(0.0), F.lit(0.0)]
+    for i, prob in enumerate(probs):
+        n, values = sketch_size(f"_sketch{i}"), F.col(f"_grid{i}")
+
+        def line(place: Column, i=i, n=n) -> Column:
+            return (place - F.col(f"_below{i}") + 0.5) / n / step
+
+        lower = F.floor(line(F.floor(_position(prob)))).cast("int") - 1
+        upper = F.ceil(line(F.ceil(_position(prob)))).cast("int") + 1
+        low = F.when(lower < 0, F.col(f"_low{i}")).otherwise(F.get(values, lower))
+        high = F.when(upper > lines, F.col(f"_high{i}")).otherwise(F.get(values, upper))
+        made += [low.alias(f"_low{i}"), high.alias(f"_high{i}")]
+        share = F.least((upper - lower) * F.lit(step), F.lit(1.0))
+        widest.append(F.when(low == high, F.lit(1.0)).otherwise(n * share))
+    grids = {
+        f"_grid{i}": F.kll_sketch_get_quantile_double(f"_sketch{i}", grid) for i in range(len(probs))
+    }
     return (
-        per_prob.groupBy(*by)
-        .agg(by_prob.alias("_by_prob"), F.count(F.lit(1)).alias("_probs"))
-        .filter("_probs > 0")
-        .select(*by, F.array(*(F.col("_by_prob")[F.lit(p)] for p in probs)).alias("quantiles"))
+        sketches.filter("_rows > 0")
+        .withColumns(grids)
+        .select(*keys, "_rows", *made, F.greatest(*widest).alias("_widest"))
     )
 
 
+def _picked(base: DataFrame, keys: list[str], brackets: DataFrame, probs: list[float]) -> DataFrame:
+    """``keys`` and ``_picked``, the quantile of each probability."""
+    value = F.col("_value")
+    sides = range(len(probs))
+    inside = reduce(Column.__or__, (value.between(F.col(f"_low{i}"), F.col(f"_high{i}")) for i in sides))
+    following = [F.when(F.col(f"_low{i}") > value, F.col(f"_low{i}")) for i in sides]
+    place = F.when(inside, value).otherwise(F.least(*following, F.lit(None).cast("double")))
+    counts = (
+        _joined(base, brackets, keys)
+        .select(*keys, "_rows", place.alias("_place"), inside.alias("_known"))
+        .filter(F.col("_place").isNotNull())
+        .groupBy(*keys, "_rows", "_place", "_known")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    # Rows between brackets come before the equal value that starts the next bracket.
+    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_place", "_known"))
+    ranked = counts.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_n"))
+
+    def at(rank: Column) -> Column:
+        hit = F.col("_known") & (F.col("_before") <= rank) & (rank < F.col("_upto"))
+        return F.max(F.when(hit, F.col("_place")))
+
+    picks = [
+        column
+        for i, p in enumerate(probs)
+        for column in (
+            at(F.floor(_position(p))).alias(f"_l{i}"),
+            at(F.ceil(_position(p))).alias(f"_h{i}"),
+        )
+    ]
+    found = ranked.groupBy(*keys, "_rows").agg(*picks)
+
+    def mixed(i: int, p: float) -> Column:
+        low, high = F.col(f"_l{i}"), F.col(f"_h{i}")
+        weight = _position(p) - F.floor(_position(p))
+        # Equal sides are not mixed: the mean of two infinities would be no number.
+        return (
+            F.when(low.isNull() | high.isNull(), F.raise_error(F.lit("A bracket missed its rank")).cast("double"))
+            .when((low == high) | (weight == 0), low)
+            .otherwise(low * (1 - weight) + high * weight)
+        )
+
+    return found.select(*keys, F.array(*(mixed(i, p) for i, p in enumerate(probs))).alias("_picked"))
+
+
 def with_group_median(df: DataFrame, value: str, by: str, name: str) -> DataFrame:
     """Every row of ``df`` with the exact median of its group.
 

@@ -4,13 +4,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.columns import percent_change, price_per_sqm
-from lotwise.functions.quantiles import (
-    ACCURACY,
-    approx_boundaries,
-    approx_median,
-    with_group_median,
-)
+from lotwise.functions.quantiles import with_group_median
 from lotwise.functions.ranking import with_ntile, with_position
+from lotwise.functions.sketches import (
+    SALTS,
+    SIZE,
+    rank_error,
+    sketch_median,
+    sketch_quantiles,
+    sketch_size,
+    sketched,
+)
 from lotwise.sources.scratch import stored
 
 
@@ -18,9 +22,13 @@ def _sale_count() -> Column:
     return F.count(F.lit(1)).alias("nb_ventes")
 
 
-def _median_per_sqm(ratio: Column) -> Column:
+def _sales_sum() -> dict[str, Column]:
+    return {"nb_ventes": F.lit(1).cast("long")}
+
+
+def _median_per_sqm(sketch: str = "_m2") -> Column:
     """Median of the ratios, not the ratio of the medians."""
-    return F.round(approx_median(ratio), 0).alias("prix_m2_median")
+    return F.round(sketch_median(sketch), 0).alias("prix_m2_median")
 
 
 def _year(date: str = "date_mutation") -> Column:
@@ -28,11 +36,20 @@ def _year(date: str = "date_mutation") -> Column:
     return F.year(F.to_date(F.col(date)))
 
 
+def price_boundaries(sales: DataFrame, parts: int) -> DataFrame:
+    """``rang, prix``: minimum, ``parts - 1`` inner boundaries and maximum of the price."""
+    found = sketched(sales, [], {"_prix": F.col("prix")})
+    ranks = [i / parts for i in range(parts + 1)]
+    return found.select(F.posexplode(sketch_quantiles("_prix", ranks)).alias("rang", "prix"))
+
+
 def global_medians(sales: DataFrame) -> DataFrame:
     """Median price and area, read off the middle of three quantile boundaries."""
-    return sales.agg(
-        approx_boundaries("prix", 2)[1].alias("prix_median"),
-        approx_boundaries("surface_bati", 2)[1].alias("surface_mediane"),
+    found = sketched(sales, [], {"_prix": F.col("prix"), "_surface": F.col("surface_bati")})
+    halves = [0.0, 0.5, 1.0]
+    return found.select(
+        sketch_quantiles("_prix", halves)[1].alias("prix_median"),
+        sketch_quantiles("_surface", halves)[1].alias("surface_mediane"),
     )
 
 
@@ -41,15 +58,16 @@ def stats_by_type(sales: DataFrame) -> DataFrame:
 
     The plain division fails the job on a zero area, which the cleaning rules out.
     """
-    return sales.groupBy("type_bien").agg(
-        _sale_count(),
-        approx_median("prix").alias("prix_median"),
-        _median_per_sqm(F.col("prix") / F.col("surface_bati")),
+    per_sqm = F.col("prix") / F.col("surface_bati")
+    found = sketched(sales, ["type_bien"], {"_prix": F.col("prix"), "_m2": per_sqm}, _sales_sum())
+    return found.select(
+        "type_bien", "nb_ventes", sketch_median("_prix").alias("prix_median"), _median_per_sqm()
     )
 
 
 def stats_by_commune(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("nom_commune").agg(_sale_count(), _median_per_sqm(price_per_sqm()))
+    found = sketched(sales, ["nom_commune"], {"_m2": price_per_sqm()}, _sales_sum())
+    return found.select("nom_commune", "nb_ventes", _median_per_sqm())
 
 
 def top_communes(sales: DataFrame, n: int = 10) -> DataFrame:
@@ -58,9 +76,10 @@ def top_communes(sales: DataFrame, n: int = 10) -> DataFrame:
 
 
 def yearly_evolution(sales: DataFrame) -> DataFrame:
+    dated = sales.withColumn("annee", _year())
     return (
-        sales.groupBy(_year().alias("annee"))
-        .agg(_sale_count(), _median_per_sqm(price_per_sqm()))
+        sketched(dated, ["annee"], {"_m2": price_per_sqm()}, _sales_sum())
+        .select("annee", "nb_ventes", _median_per_sqm())
         .orderBy("annee")
     )
 
@@ -78,19 +97,35 @@ def commune_ranking_sql(sales: DataFrame, min_sales: int = 100) -> DataFrame:
     """``commune_ranking`` as SQL: a complete table per commune, then a plain filter."""
     return sales.sparkSession.sql(
         """
-        WITH per_commune AS (
+        WITH salted AS (
             SELECT nom_commune,
-                   count(*) AS nb_ventes,
-                   round(percentile_approx(try_divide(prix, surface_bati), 0.5, :accuracy), 0)
-                       AS prix_m2_median
+                   spark_partition_id() % :salts AS salt,
+                   try_divide(prix, surface_bati) AS m2
             FROM {sales}
+        ),
+        parts AS (
+            SELECT nom_commune, salt, count(*) AS n, kll_sketch_agg_double(m2, :size) AS sketch
+            FROM salted
+            GROUP BY nom_commune, salt
+        ),
+        merged AS (
+            SELECT nom_commune, sum(n) AS nb_ventes, kll_merge_agg_double(sketch, :size) AS sketch
+            FROM parts
             GROUP BY nom_commune
+        ),
+        per_commune AS (
+            SELECT nom_commune,
+                   nb_ventes,
+                   CASE WHEN kll_sketch_get_n_double(sketch) > 0
+                        THEN round(kll_sketch_get_quantile_double(sketch, 0.5D), 0) END
+                       AS prix_m2_median
+            FROM merged
         )
         SELECT * FROM per_commune
         WHERE nb_ventes >= :min_sales
         ORDER BY prix_m2_median DESC, nom_commune
         """,
-        args={"min_sales": min_sales, "accuracy": ACCURACY},
+        args={"min_sales": min_sales, "salts": SALTS, "size": SIZE},
         sales=sales,
     )
 
@@ -148,13 +183,13 @@ def rank_family(sales: DataFrame, value: str = "prix") -> DataFrame:
     """
     narrow = sales.select("nom_commune", "id_mutation", value)
     largest_first = ["nom_commune", F.desc(value)]
-    placed = stored(with_position(narrow, [*largest_first, "id_mutation"]).drop("n_rows"))
+    placed = with_position(narrow, [*largest_first, "id_mutation"]).drop("n_rows")
     tied = placed.groupBy("nom_commune", value).agg(F.min("position").alias("_first"))
-    tied = stored(with_position(stored(tied), largest_first).drop("n_rows"))
+    tied = with_position(tied, largest_first).drop("n_rows")
     starts = tied.groupBy("nom_commune").agg(
         (F.min("_first") - 1).alias("_sales_before"), (F.min("position") - 1).alias("_values_before")
     )
-    tied = stored(
+    tied = (
         tied.alias("t")
         .join(starts.alias("s"), F.col("t.nom_commune").eqNullSafe(F.col("s.nom_commune")))
         .select(
@@ -184,8 +219,9 @@ def commune_yoy(sales: DataFrame, communes: int = 10) -> DataFrame:
     previous row is the previous year with sales. A commune without name counts
     among the busiest but is not shown.
     """
-    yearly = sales.groupBy("nom_commune", _year().alias("annee")).agg(
-        _sale_count(), _median_per_sqm(price_per_sqm())
+    dated = sales.withColumn("annee", _year())
+    yearly = sketched(dated, ["nom_commune", "annee"], {"_m2": price_per_sqm()}, _sales_sum()).select(
+        "nom_commune", "annee", "nb_ventes", _median_per_sqm()
     )
     by_year = Window.partitionBy("nom_commune").orderBy("annee")
     return (
@@ -208,19 +244,64 @@ def price_quintiles(sales: DataFrame, tiles: int = 5) -> DataFrame:
     """Equal-sized price buckets: count, price range and median area of each."""
     # Stored, since the sampling of the range partitioning reads them as well.
     narrow = stored(sales.select("prix", "id_mutation", "surface_bati"))
+    bucketed = with_ntile(narrow, tiles, ["prix", "id_mutation"], "quintile")
     return (
-        with_ntile(narrow, tiles, ["prix", "id_mutation"], "quintile")
-        .groupBy("quintile")
+        bucketed.groupBy("quintile", F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("_salt"))
         .agg(
             _sale_count(),
             F.min("prix").alias("prix_min"),
             F.max("prix").alias("prix_max"),
-            approx_median("surface_bati").alias("surface_mediane"),
+            F.kll_sketch_agg_double("surface_bati", F.lit(SIZE)).alias("_surface"),
         )
+        .groupBy("quintile")
+        .agg(
+            F.sum("nb_ventes").alias("nb_ventes"),
+            F.min("prix_min").alias("prix_min"),
+            F.max("prix_max").alias("prix_max"),
+            F.kll_merge_agg_double("_surface", F.lit(SIZE)).alias("_surface"),
+        )
+        .withColumn("_surface", sketch_median("_surface"))
+        .withColumnRenamed("_surface", "surface_mediane")
         .orderBy("quintile")
     )
 
 
+def median_audit(
+    sales: DataFrame, by: str, value: Column, size: int = SIZE, salts: int = SALTS
+) -> DataFrame:
+    """How far the approximate median of each group truly is from its middle.
+
+    ``by, n, mediane, erreur_rang, tenue``: values in the group, the approximate median, the
+    distance of its true rank from the middle as a share of the group (0 where the middle lies
+    among its equals), and whether that keeps within three rank errors of the sketch. The true
+    ranks are counted in a second pass, in which rows join the medians of their groups, so
+    ``sales`` should be a stored table.
+    """
+    rows = sales.select(by, value.cast("double").alias("_value")).filter(
+        F.col("_value").isNotNull() & ~F.isnan("_value")
+    )
+    medians = stored(
+        sketched(rows, [by], {"_sketch": F.col("_value")}, size=size, salts=salts)
+        .filter(sketch_size("_sketch") > 0)
+        .select(F.col(by).alias("_group"), sketch_median("_sketch").alias("mediane"))
+    )
+    found = F.col("_value")
+    counted = (
+        rows.join(medians, F.col(by).eqNullSafe(F.col("_group")))
+        .groupBy(by, "mediane")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(found < F.col("mediane")).alias("_below"),
+            F.count_if(found <= F.col("mediane")).alias("_upto"),
+        )
+    )
+    middle = F.ceil(F.col("n") / 2)  # from 1
+    off = F.greatest(F.col("_below") + 1 - middle, middle - F.col("_upto"), F.lit(0)) / F.col("n")
+    return counted.select(by, "n", "mediane", off.alias("erreur_rang")).withColumn(
+        "tenue", F.col("erreur_rang") <= 3 * rank_error(size)
+    )
+
+
 def commune_share(sales: DataFrame) -> DataFrame:
     """Share of all sales made in each commune."""
     counts = sales.groupBy("nom_commune").agg(_sale_count())

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.functions.quantiles import exact_quantiles
+from lotwise.functions.quantiles import exact_quantiles_of
 from lotwise.operators.cleaning import audited_sales, clean_from_audited, cleaning_funnel
 from lotwise.operators.quality import CleaningReport, check_quality, cleaning_report
 from lotwise.schemas import MIN_SURVIVAL_RATE
@@ -53,13 +53,12 @@ def build_from_files(
 
 def exact_medians(sales: DataFrame) -> DataFrame:
     """Interpolated median price and area, as one row; ``sales`` is a stored table."""
-    price, area = (
-        exact_quantiles(sales, column, [0.5]).select(F.col("quantiles")[0]).scalar()
-        for column in ("prix", "surface_bati")
-    )
-    return sales.sparkSession.range(1).select(
-        price.alias("prix_median"), area.alias("surface_mediane")
-    )
+    found = exact_quantiles_of(sales, ["prix", "surface_bati"], [0.5])
+
+    def of(column: str):
+        return F.max(F.when(F.col("column") == column, F.col("quantiles")[0]))
+
+    return found.agg(of("prix").alias("prix_median"), of("surface_bati").alias("surface_mediane"))
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

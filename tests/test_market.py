@@ -50,7 +50,7 @@ def test_zero_area_fails_or_is_left_out(sales):
     df = sales({"surface_bati": 0.0}, {"surface_bati": 100.0})
     with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
         market.stats_by_type(df).collect()
-    assert market.top_communes(df).first().prix_m2_median == 2000.0
+    assert market.top_communes(df).first().prix_m2_median == 2400.0
 
 
 def test_busiest_communes_break_ties_by_name(sales):
@@ -121,8 +121,8 @@ def test_change_compares_with_the_previous_year_present(table):
 
 def test_null_commune_takes_a_place_but_is_not_shown(sales):
     df = sales({"nom_commune": None}, {"nom_commune": None}, {}, {"nom_commune": "Pessac"})
-    assert {r.nom_commune for r in market.commune_yoy(df, 2).collect()} == {"Bordeaux"}
-    assert {r.nom_commune for r in market.top_sales_per_commune(df, 2).collect()} == {"Bordeaux"}
+    assert {r.nom_commune for r in market.commune_yoy(df, 2).collect()} == {"Nantes"}
+    assert {r.nom_commune for r in market.top_sales_per_commune(df, 2).collect()} == {"Nantes"}
 
 
 def test_quintiles_have_equal_sizes(table):
@@ -136,3 +136,22 @@ def test_shares_and_subtotals(table, sales):
     assert market.commune_share(table).agg(F.sum("part")).first()[0] == pytest.approx(1.0)
     assert tuple(market.subtotal_check(table).first()) == (3000, 3000, True)
     assert tuple(market.subtotal_check(sales({}, {"type_bien": None})).first()) == (1, 2, False)
+
+
+def test_median_audit_counts_true_ranks(spark, table):
+    exact = {r.nom_commune: r for r in market.median_audit(table, "nom_commune", F.col("prix")).collect()}
+    assert None in exact and all(r.erreur_rang == 0.0 and r.tenue for r in exact.values())
+    assert sum(r.n for r in exact.values()) == table.count()
+    # A sketch of few entries rounds; the audit sees by how much.
+    spread = spark.range(0, 40_000, 1, 6).select(F.lit("g").alias("g"), (F.col("id") * 1.0).alias("v"))
+    row = market.median_audit(spread, "g", F.col("v"), size=64, salts=3).first()
+    true = abs(row.mediane + 1 - 20_000) / 40_000
+    assert row.n == 40_000 and row.erreur_rang == pytest.approx(true) and row.erreur_rang > 0
+    assert row.tenue == (row.erreur_rang <= 3 * 2.296 / 64**0.9723)
+
+
+def test_median_audit_of_ties_and_nothing(spark):
+    df = spark.createDataFrame([("t", 1.0)] * 9 + [("t", 2.0), ("n", None), ("n", float("nan"))], "g string, v double")
+    rows = market.median_audit(df, "g", F.col("v")).collect()
+    assert [(r.g, r.n, r.mediane, r.erreur_rang, r.tenue) for r in rows] == [("t", 10, 1.0, 0.0, True)]
+
