@@ -13,12 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.functions.quantiles import approx_boundaries
 from lotwise.operators import cleaning, market, metrics, pricing, profiling, quality, warehouse
 from lotwise.plans.build import exact_medians
 from lotwise.schemas import RAW_LOT
+from lotwise.sources.raw_files import (
+    MALFORMED,
+    SOURCE_FILE,
+    load_years,
+    raw_file_path,
+    write_raw_file,
+)
 from lotwise.sources.sample_tables import raw_lots
-from lotwise.sources.scratch import stored
+from lotwise.sources.scratch import new_path, stored
+from lotwise.sources.tables import publish_years, read_years
 
 try:  # The text operators are an optional part.
     import corpus_pipeline
@@ -119,7 +126,7 @@ def _no_dwelling_lot_types(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _largest_sale_lots(spark: SparkSession, folder: str) -> DataFrame:
-    return profiling.largest_sale_lots(stored(raw_lots(spark, folder)))
+    return profiling.largest_sale_lots(raw_lots(spark, folder))
 
 
 def _commune_median_feature(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,6 +150,63 @@ def _model_vs_baseline(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _model_early_stopping(spark: SparkSession, folder: str) -> DataFrame:
+    """Did the held-out sales end the boosting early, and does what it learned beat the baseline?"""
+    train, test = (stored(part) for part in _split(spark, folder))
+    model = pricing.train_model(train, early_stopping=True)
+    tested = pricing.compare_with_baseline(
+        pricing.predict_baseline(train, test), pricing.predict(model, test)
+    )
+    fewer = pricing.boosting_rounds(model) < pricing.MAX_ITER
+    return tested.filter("modele = 'model'").select(
+        F.lit(fewer).alias("arret_anticipe"), (F.col("gain") > 0).alias("meilleur_que_baseline")
+    )
+
+
+def _lots_through_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw lots, written as one gzip CSV file a year and read back with their lineage."""
+    dated = F.year(F.to_date("date_mutation"))
+    lots = stored(raw_lots(spark, folder).withColumn("_year", dated))
+    years = sorted(row[0] for row in lots.select("_year").distinct().collect())
+    path = new_path(spark)
+    for year in years:
+        write_raw_file(
+            lots.filter(F.col("_year") == year).select(*RAW_LOT.fieldNames()),
+            raw_file_path(path, "lots", "00", year),
+        )
+    return load_years(spark, path, "lots", "00", years, lineage=True).select(
+        *RAW_LOT.fieldNames(), "source_year", SOURCE_FILE, F.size(MALFORMED).alias("nb_malformed")
+    )
+
+
+REBUILT_YEAR, REBUILT_FROM = 1997, 150_000.0
+
+
+def _published(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean sales by year, one year of which was built again from dearer sales only."""
+    sales, path = _table(spark, folder), new_path(spark)
+    publish_years(sales, path)
+    year = F.year(F.to_date("date_mutation"))
+    publish_years(sales.filter((year == REBUILT_YEAR) & (F.col("prix") >= REBUILT_FROM)), path)
+    return read_years(spark, path)
+
+
+def _published_split(spark: SparkSession, folder: str) -> DataFrame:
+    sizes = (
+        part.groupBy("annee").agg(F.count(F.lit(1)).alias("nb_ventes")).withColumn("partie", F.lit(name))
+        for name, part in zip(
+            ("train", "test"), pricing.time_based_split(_published(spark, folder), SPLIT_DATE), strict=True
+        )
+    )
+    return DataFrame.unionByName(*sizes)
+
+
+def _observed_funnel(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = cleaning.ObservedCleaning(raw_lots(spark, folder))
+    cleaned.sales.write.format("noop").mode("overwrite").save()
+    return cleaned.funnel()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every implemented query by name."""
     if llm_queries is None:
@@ -177,7 +241,12 @@ def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             6,
             "survival_rate",
         ),
+        "cleaning_funnel_observed": _observed_funnel,
         "multi_year_union": _lots_by_year,
+        # files and published tables
+        "lots_through_csv": _lots_through_csv,
+        "published_sales": _published,
+        "published_split": _published_split,
         # star schema
         "staging_sales": lambda s, d: _dates_as_text(warehouse.stage_sales(_clean(s, d))),
         "dim_commune": lambda s, d: warehouse.dim_commune(warehouse.stage_sales(_clean(s, d))),
@@ -196,9 +265,10 @@ def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # analyses
         "global_medians_approx": lambda s, d: market.global_medians(_clean(s, d)),
         "global_medians_exact": lambda s, d: exact_medians(_table(s, d, "prix", "surface_bati")),
-        "price_boundaries": lambda s, d: _clean(s, d)
-        .agg(approx_boundaries("prix", 4).alias("b"))
-        .select(F.posexplode("b").alias("rang", "prix")),
+        "price_boundaries": lambda s, d: market.price_boundaries(_clean(s, d), 4),
+        "median_audit": lambda s, d: market.median_audit(
+            _table(s, d, "nom_commune", "prix"), "nom_commune", F.col("prix")
+        ).select("nom_commune", "n", "tenue"),
         "stats_by_type": lambda s, d: market.stats_by_type(_clean(s, d)),
         "top_communes": lambda s, d: market.top_communes(_clean(s, d)),
         "yearly_evolution": lambda s, d: market.yearly_evolution(_clean(s, d)),
@@ -258,6 +328,7 @@ def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "commune_median_feature": _commune_median_feature,
         "model_predictions": _model_predictions,
         "model_vs_baseline": _model_vs_baseline,
+        "model_early_stopping": _model_early_stopping,
     }
 
 
@@ -266,12 +337,14 @@ def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _RAW = """
 raw AS (
     SELECT l_orderkey::varchar AS id_mutation,
-           strftime(o_orderdate, '%Y-%m-%d') AS date_mutation,
+           strftime(o_orderdate::date + (l_linenumber - 1), '%Y-%m-%d') AS date_mutation,
            CASE WHEN o_orderstatus = 'P' AND o_custkey % 4 = 0
                 THEN 'Adjudication' ELSE 'Vente' END AS nature_mutation,
-           CASE WHEN o_orderkey % 50 <> 0 THEN o_totalprice END AS valeur_fonciere,
-           n_name AS nom_commune,
-           CASE WHEN n_nationkey % 7 <> 3 THEN (1000 + n_nationkey * 37)::double END AS code_postal,
+           CASE WHEN o_orderkey % 50 <> 0 THEN o_totalprice + (l_linenumber - 1) END AS valeur_fonciere,
+           CASE WHEN NOT (o_orderkey % 41 = 0 OR (o_orderkey % 9 = 0 AND l_linenumber = 1))
+                THEN n_name END AS nom_commune,
+           CASE WHEN n_nationkey % 7 <> 3 THEN (1000 + n_nationkey * 970)::double
+                + CASE WHEN n_nationkey % 5 = 2 THEN 0.5::double ELSE 0::double END END AS code_postal,
            CASE WHEN l_returnflag = 'A' THEN 'Appartement'
                 WHEN l_returnflag = 'R' THEN 'Dependance'
                 WHEN l_returnflag = 'N' AND l_linenumber % 2 = 0 THEN 'Maison' END AS type_local,
@@ -279,9 +352,11 @@ raw AS (
                 THEN l_quantity * 2 END AS surface_reelle_bati,
            l_linenumber::double AS nombre_pieces_principales,
            CASE WHEN l_linestatus = 'O' THEN l_quantity * 10 END AS surface_terrain,
-           CASE WHEN o_orderkey % 31 <> 0 THEN (-(o_custkey % 100))::double / 100 END AS longitude,
+           CASE WHEN o_orderkey % 31 <> 0
+                THEN (-(o_custkey % 100))::double / 100 + (l_linenumber - 1) END AS longitude,
            CASE WHEN o_orderkey % 31 <> 0 THEN 44 + (o_custkey % 60)::double / 100 END AS latitude,
-           l_linenumber * 256 + ascii(l_returnflag) AS lot_order
+           l_linenumber * 256 + ascii(l_returnflag) AS lot_order,
+           'RUE ' || (l_suppkey % 100) AS adresse_nom_voie
     FROM lineitem
     JOIN orders ON l_orderkey = o_orderkey
     JOIN customer ON o_custkey = c_custkey
@@ -295,17 +370,17 @@ lots AS (
 ),
 sales AS (
     SELECT id_mutation,
-           min(date_mutation) AS date_mutation,
-           min(valeur_fonciere) AS prix,
-           min(nom_commune) AS nom_commune,
-           min(code_postal) AS code_postal,
+           arg_min(date_mutation, lot_order) FILTER (date_mutation IS NOT NULL) AS date_mutation,
+           arg_min(valeur_fonciere, lot_order) FILTER (valeur_fonciere IS NOT NULL) AS prix,
+           arg_min(nom_commune, lot_order) FILTER (nom_commune IS NOT NULL) AS nom_commune,
+           arg_min(code_postal, lot_order) FILTER (code_postal IS NOT NULL) AS code_postal,
            count(*) FILTER (logement) AS nb_logements,
            count(*) AS nb_lots,
            coalesce(sum(surface_reelle_bati) FILTER (logement), 0) AS surface_bati,
            coalesce(sum(nombre_pieces_principales) FILTER (logement), 0) AS nb_pieces,
            coalesce(sum(surface_terrain), 0) AS surface_terrain,
-           min(longitude) AS longitude,
-           min(latitude) AS latitude,
+           arg_min(longitude, lot_order) FILTER (longitude IS NOT NULL) AS longitude,
+           arg_min(latitude, lot_order) FILTER (latitude IS NOT NULL) AS latitude,
            arg_min(type_local, lot_order) FILTER (logement) AS type_bien
     FROM lots GROUP BY id_mutation
 )"""
@@ -348,6 +423,11 @@ predicted AS (
 ),
 errors AS (SELECT *, abs((prix - prediction) / prix) AS erreur FROM predicted)"""
 
+_PUBLISHED = _CLEAN + f""",
+published AS (
+    SELECT * EXCLUDE (m2) FROM clean WHERE annee <> {REBUILT_YEAR} OR prix >= {REBUILT_FROM}
+)"""
+
 _RAW_COLUMNS = ", ".join(RAW_LOT.fieldNames())
 _CLEAN_COLUMNS = "* EXCLUDE (m2, annee)"
 _MEDIAN = "quantile_disc({}, 0.5)"
@@ -394,6 +474,25 @@ def _sales_oracles() -> dict[str, str]:
                             / max(n_rows) FILTER (step_no = 1), 6) AS survival_rate
                FROM funnel""",
         ),
+        "cleaning_funnel_observed": (_FUNNEL, "SELECT * FROM funnel"),
+        "lots_through_csv": (
+            _RAW,
+            f"""SELECT {_RAW_COLUMNS}, year(date_mutation::date)::integer AS source_year,
+                       'lots_00_' || year(date_mutation::date) || '.csv.gz' AS source_file,
+                       0::integer AS nb_malformed FROM raw""",
+        ),
+        "published_sales": (_PUBLISHED, "SELECT * FROM published"),
+        "published_split": (
+            _PUBLISHED,
+            f"""SELECT annee, count(*) AS nb_ventes,
+                       CASE WHEN date_mutation < '{SPLIT_DATE}' THEN 'train' ELSE 'test' END AS partie
+                FROM published GROUP BY ALL""",
+        ),
+        "median_audit": (
+            _CLEAN,
+            "SELECT nom_commune, count(prix) AS n, true AS tenue FROM clean GROUP BY nom_commune",
+        ),
+        "model_early_stopping": (_RAW, "SELECT true AS arret_anticipe, true AS meilleur_que_baseline"),
         "multi_year_union": (
             _RAW,
             """SELECT year(date_mutation::date)::integer AS source_year, count(*) AS nb_lots,
@@ -579,7 +678,7 @@ def _sales_oracles() -> dict[str, str]:
         "largest_sale_lots": (
             _RAW,
             """SELECT id_mutation, date_mutation, valeur_fonciere, type_local, surface_reelle_bati,
-                      nombre_pieces_principales
+                      nombre_pieces_principales, adresse_nom_voie
                FROM raw WHERE id_mutation = (
                    SELECT id_mutation FROM raw GROUP BY 1 HAVING count(*) > 1
                    ORDER BY count(*) DESC, 1 LIMIT 1)""",

@@ -2,7 +2,7 @@
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +10,7 @@ from lotwise.functions.columns import price_per_sqm
 from lotwise.functions.quantiles import exact_quantiles
 from lotwise.operators.metrics import error_means
 from lotwise.sources.scratch import shared_folder, stored
+from lotwise.sources.tables import YEAR
 
 # --- Fixed values --------------------------------------------------------------
 NUMERIC_FEATURES = (
@@ -23,6 +24,9 @@ SPLIT_DATE = "2024-01-01"
 MAX_ITER, LEARNING_RATE, MAX_DEPTH, MIN_LEAF, SEED = 300, 0.08, 8, 20, 42
 # -------------------------------------------------------------------------------
 
+# Early stopping: the held-out share of training sales, and the least gain of a round.
+HELD_OUT, HELD_OUT_PART, STOP_GAIN = "_held_out", 10, 0.01
+
 # Numeric features that may be missing after the cleaning.
 _NULLABLE = ("longitude", "latitude")
 
@@ -33,9 +37,17 @@ def time_based_split(
     """Sales before the date, and sales from the date on.
 
     ISO dates sort as text, so both filters reach the scan, be the column text or a date.
+    Sales published by year are also filtered by that column, so that the scan of each part
+    opens the folders of its years only.
     """
     sold, limit = F.col("date_mutation"), F.lit(split_date)
-    return sales.filter(sold < limit), sales.filter(sold >= limit)
+    before, after = sales.filter(sold < limit), sales.filter(sold >= limit)
+    if YEAR in sales.columns:
+        year = int(split_date[:4])
+        before, after = before.filter(F.col(YEAR) <= year), after.filter(F.col(YEAR) >= year)
+        if split_date[4:] == "-01-01":
+            before = before.filter(F.col(YEAR) < year)
+    return before, after
 
 
 def split_counts(sales: DataFrame, split_date: str = SPLIT_DATE) -> DataFrame:
@@ -69,17 +81,21 @@ def training_price_per_sqm(train: DataFrame) -> DataFrame:
 def predict_baseline(train: DataFrame, test: DataFrame) -> DataFrame:
     """Test sales with ``prediction``: area times the training median, nothing of the test.
 
-    The median is a scalar subquery over a stored row, so test sales are neither joined nor
-    shuffled, and the ranks behind the median are searched once.
+    The median, one number, is fetched first, so test sales are neither joined nor shuffled,
+    and the ranks behind it are searched once.
     """
-    median = stored(training_price_per_sqm(train)).scalar()
+    found = training_price_per_sqm(train).first()
+    median = F.lit(found.prix_m2_median if found else None).cast("double")
     return test.withColumn("prediction", F.col("surface_bati") * median)
 
 
-def price_pipeline(max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH) -> Pipeline:
+def price_pipeline(
+    max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH, early_stopping: bool = False
+) -> Pipeline:
     """Month, imputed coordinates, indexed type, boosted trees and the way back to euros.
 
-    The trees refuse missing values: a missing coordinate takes the training median
+    With ``early_stopping`` boosting ends once the held-out sales gain less than
+    ``STOP_GAIN`` of their error from a round. The trees refuse missing values: a missing coordinate takes the training median
     and raises a flag of its own, so that the trees can still tell it apart.
     """
     derived = ", ".join(
@@ -94,6 +110,19 @@ def price_pipeline(max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH) -> Pipe
         "mois",
         *(f"{c}_code" for c in CATEGORICAL_FEATURES),
     ]
+    stopping = {"validationIndicatorCol": HELD_OUT, "validationTol": STOP_GAIN} if early_stopping else {}
+    trees = GBTRegressor(
+        labelCol="log_prix",
+        predictionCol="log_prediction",
+        maxIter=max_iter,
+        stepSize=LEARNING_RATE,
+        maxDepth=max_depth,
+        maxBins=255,
+        minInstancesPerNode=MIN_LEAF,
+        seed=SEED,
+        checkpointInterval=10,
+        **stopping,
+    )
     return Pipeline(
         stages=[
             SQLTransformer(statement=f"SELECT *, {derived} FROM __THIS__"),
@@ -105,34 +134,40 @@ def price_pipeline(max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH) -> Pipe
                 handleInvalid="keep",
             ),
             VectorAssembler(inputCols=inputs, outputCol="features"),
-            GBTRegressor(
-                labelCol="log_prix",
-                predictionCol="log_prediction",
-                maxIter=max_iter,
-                stepSize=LEARNING_RATE,
-                maxDepth=max_depth,
-                maxBins=255,
-                minInstancesPerNode=MIN_LEAF,
-                seed=SEED,
-                checkpointInterval=10,
-            ),
+            trees,
             SQLTransformer(statement="SELECT *, exp(log_prediction) AS prediction FROM __THIS__"),
         ]
     )
 
 
 def train_model(
-    train: DataFrame, max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH
+    train: DataFrame,
+    max_iter: int = MAX_ITER,
+    max_depth: int = MAX_DEPTH,
+    early_stopping: bool = False,
 ) -> PipelineModel:
     """Fit the trees on the logarithm of the price, which weighs errors by ratio.
 
     Boosting reads the training sales again for every tree level: they should be a
     stored table. The trees cut their lineage in the checkpoint folder.
+
+    With ``early_stopping`` one sale in ``HELD_OUT_PART``, by the hash of its id, is kept from
+    the trees and decides how many rounds there are, ``max_iter`` at most. Hashes hold out the
+    same sales in every run and on every cluster.
     """
     context = train.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(train.sparkSession))
-    return price_pipeline(max_iter, max_depth).fit(train.withColumn("log_prix", F.log(TARGET)))
+    logged = train.withColumn("log_prix", F.log(TARGET))
+    if early_stopping:
+        held = F.pmod(F.xxhash64("id_mutation"), F.lit(HELD_OUT_PART)) == 0
+        logged = logged.withColumn(HELD_OUT, F.coalesce(held, F.lit(False)))
+    return price_pipeline(max_iter, max_depth, early_stopping).fit(logged)
+
+
+def boosting_rounds(model: PipelineModel) -> int:
+    """Trees of the fitted model."""
+    return next(s for s in model.stages if isinstance(s, GBTRegressionModel)).getNumTrees
 
 
 def predict(model: PipelineModel, sales: DataFrame) -> DataFrame:

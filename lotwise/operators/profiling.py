@@ -96,18 +96,22 @@ def no_dwelling_lots(lots: DataFrame) -> DataFrame:
     return lots.join(without, "id_mutation", "left_semi")
 
 
-def largest_sale_lots(
-    lots: DataFrame,
-    columns: Sequence[str] = (
-        "id_mutation",
-        "date_mutation",
-        "valeur_fonciere",
-        "type_local",
-        "surface_reelle_bati",
-        "nombre_pieces_principales",
-    ),
-) -> DataFrame:
-    """All lots of the sale with the most lots, provided it has several."""
+DRILL_DOWN = (
+    "id_mutation",
+    "date_mutation",
+    "valeur_fonciere",
+    "type_local",
+    "surface_reelle_bati",
+    "nombre_pieces_principales",
+    "adresse_nom_voie",
+)
+
+
+def largest_sale_lots(lots: DataFrame, columns: Sequence[str] = DRILL_DOWN) -> DataFrame:
+    """All lots of the sale with the most lots, provided it has several.
+
+    Of ``columns`` those that the lots have; the street name needs a full-width read.
+    """
     largest = (
         lots.filter(F.col("id_mutation").isNotNull())
         .groupBy("id_mutation")
@@ -117,4 +121,6 @@ def largest_sale_lots(
         .limit(1)
         .select("id_mutation")
     )
-    return lots.join(F.broadcast(largest), "id_mutation", "left_semi").select(*columns)
+    return lots.join(F.broadcast(largest), "id_mutation", "left_semi").select(
+        *(c for c in columns if c in lots.columns)
+    )

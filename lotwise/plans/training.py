@@ -46,12 +46,13 @@ def train_and_evaluate(
     split_date: str = SPLIT_DATE,
     max_iter: int = MAX_ITER,
     max_depth: int = MAX_DEPTH,
+    early_stopping: bool = False,
 ) -> tuple[PipelineModel, DataFrame]:
     """Train before the date, test after it, and write model and card under ``folder``."""
     train, test = (stored(part) for part in time_based_split(sales, split_date))
     baseline = evaluate(predict_baseline(train, test))
     logger.info("Baseline: %s", baseline.summary())
-    model = train_model(train, max_iter, max_depth)
+    model = train_model(train, max_iter, max_depth, early_stopping)
     quality = evaluate(predict(model, test))
     logger.info("Model: %s", quality.summary())
     logger.info("Gain over the baseline: %.1f%%", 100 * quality.gain_over(baseline))
@@ -72,6 +73,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--split-date", default=SPLIT_DATE)
     parser.add_argument("--max-iter", type=int, default=MAX_ITER)
     parser.add_argument("--max-depth", type=int, default=MAX_DEPTH)
+    parser.add_argument("--early-stopping", action="store_true", help="held-out sales end the boosting")
     options = vars(parser.parse_args(arguments))
     logging.basicConfig(level=logging.INFO, format="%(levelname)s %(message)s")
     spark = SparkSession.builder.getOrCreate()

@@ -1,7 +1,8 @@
 """The order tables of the test data, seen as raw lots.
 
-A line item is a lot, an order is a sale, a nation is a commune. The order price
-repeats on each of its line items, like the sale price does on lots.
+A line item is a lot, an order is a sale, a nation is a commune. The lots of a sale differ
+in price, date, place and commune, and some lots and sales lack a commune, so that it shows
+which lot of a sale a value was taken from.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,7 @@ def raw_lots(spark: SparkSession, folder: str) -> DataFrame:
         .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("o_orderkey").cast("string").alias("id_mutation"),
-            F.col("o_orderdate").cast("date").cast("string").alias("date_mutation"),
+            F.col("o_orderdate").cast("date").alias("_sold"),
             F.when(
                 (F.col("o_orderstatus") == "P") & (F.col("o_custkey") % 4 == 0), "Adjudication"
             ).otherwise("Vente").alias("nature_mutation"),
@@ -37,7 +38,8 @@ def raw_lots(spark: SparkSession, folder: str) -> DataFrame:
             F.col("n_name").alias("nom_commune"),
             F.when(
                 F.col("n_nationkey") % 7 != 3,
-                (F.lit(1000) + F.col("n_nationkey") * 37).cast("double"),
+                (F.lit(1000) + F.col("n_nationkey") * 970).cast("double")
+                + F.when(F.col("n_nationkey") % 5 == 2, 0.5).otherwise(0.0),
             ).alias("code_postal"),
             F.when(located, (-(F.col("o_custkey") % 100)).cast("double") / 100)
             .alias("longitude"),
@@ -57,11 +59,22 @@ def raw_lots(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("surface_reelle_bati"),
         F.col("l_linenumber").cast("double").alias("nombre_pieces_principales"),
         F.when(F.col("l_linestatus") == "O", F.col("l_quantity") * 10).alias("surface_terrain"),
+        (F.col("l_linenumber") - 1).alias("_later"),
+        ((F.col("l_orderkey") % 41 == 0) | ((F.col("l_orderkey") % 9 == 0) & (F.col("l_linenumber") == 1)))
+        .alias("_nowhere"),
+        F.concat(F.lit("RUE "), (F.col("l_suppkey") % 100).cast("string")).alias("adresse_nom_voie"),
         # Lots of one sale that tie on this order have the same type.
         (F.col("l_linenumber") * 256 + F.ascii("l_returnflag")).cast("long").alias(LOT_ORDER),
     )
+    of_lot = {
+        "date_mutation": F.date_add("_sold", F.col("_later")).cast("string"),
+        "valeur_fonciere": F.col("valeur_fonciere") + F.col("_later"),
+        "nom_commune": F.when(~F.col("_nowhere"), F.col("nom_commune")),
+        "longitude": F.col("longitude") + F.col("_later"),
+    }
     return (
         lots.hint("merge")
         .join(sales, "id_mutation")
-        .select(*RAW_LOT.fieldNames(), LOT_ORDER)
+        .withColumns(of_lot)
+        .select(*RAW_LOT.fieldNames(), LOT_ORDER, "adresse_nom_voie")
     )

@@ -31,8 +31,6 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = new_path(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
-    # Lets Spark's cleaner drop the shuffle files of the finished write right away.
-    df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -59,7 +59,7 @@ def test_error_means(spark):
     one_large = metrics.evaluate(predictions(spark, (100, 100), (100, 100), (100, 160)))
     assert one_large.rmse > one_large.mae
     assert metrics.Metrics(63966.4, 0.308, 124292.0).summary() == (
-        "MAE 63,966 EUR | MAPE 30.8% | RMSE 124,292 EUR"
+        "mean error 63,966 EUR, 30.8% of the price; root mean square 124,292 EUR"
     )
 
 
@@ -165,5 +165,18 @@ def test_training_run_writes_model_and_card(spark, priced_by_area, tmp_path):
     assert gains[0].gain == 0.0 and gains[1].gain > 0
 
 
+@pytest.mark.slow
+def test_held_out_sales_end_the_boosting(spark, priced_by_area):
+    many = stored(priced_by_area.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(8)))).withColumns(
+        {"id_mutation": F.concat("id_mutation", F.col("copy").cast("string")), "prix": F.col("prix") * (0.9 + 0.2 * F.rand(3))}
+    ).drop("copy").coalesce(1))
+    model = pricing.train_model(many, max_iter=40, max_depth=3, early_stopping=True)
+    assert 1 <= pricing.boosting_rounds(model) < 40
+    assert pricing.boosting_rounds(pricing.train_model(many, max_iter=5, max_depth=3)) == 5
+    found = pricing.predict(model, many)
+    assert found.columns == [*many.columns, "prediction"]
+    assert metrics.evaluate(found).mae < metrics.evaluate(pricing.predict_baseline(many, many.limit(0).unionByName(many))).mae * 1.5
+
+
 def test_default_parameters():
     assert (pricing.MAX_ITER, pricing.LEARNING_RATE, pricing.MAX_DEPTH, pricing.SEED) == (300, 0.08, 8, 42)
