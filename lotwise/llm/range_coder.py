@@ -47,15 +47,16 @@ class Encoder:
     def __init__(self, lanes: int):
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, (1 << 48) - 1, np.uint64)
-        self.at = np.zeros(lanes, np.int64)
-        self.words = np.zeros((BLOCK + 512, lanes), np.uint32)
+        self.lanes = lanes
+        self.words = np.zeros((BLOCK + 512) * lanes, np.uint32)  # a row of lanes a word
+        self.at = np.arange(lanes)
 
     def reserve(self, steps: int) -> None:
         """Room for ``steps`` more coding steps; each writes a word at most."""
-        missing = int(self.at.max()) + steps + TAIL - len(self.words)
+        missing = int(self.at.max()) + (steps + TAIL + 1) * self.lanes - len(self.words)
         if missing > 0:
-            grown = np.zeros((missing + len(self.words) // 4, self.words.shape[1]), np.uint32)
-            self.words = np.concatenate([self.words, grown])
+            grown = np.zeros(missing + len(self.words) // 4 // self.lanes * self.lanes, np.uint32)
+            self.words = np.concatenate([self.words, grown[: len(grown) // self.lanes * self.lanes]])
 
     def put(self, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         n = len(unit)
@@ -63,38 +64,40 @@ class Encoder:
         low += unit * start
         np.multiply(unit, size, out=span)
         short = np.flatnonzero(span < FLOOR)
-        out = low[short]
-        at = self.at[short]
-        self.words[at, short] = out >> U32
-        self.at[short] = at + 1
+        out = low.take(short)
+        at = self.at.take(short)
+        self.words[at] = out >> U32
+        self.at[short] = at + self.lanes
         low[short] = (out & LOW32) << U16
-        span[short] <<= U16
+        span[short] = span.take(short) << U16
 
     def finish(self) -> list[bytes]:
-        lanes = np.arange(len(self.at))
         self.reserve(TAIL)
         for shift in (32, 16, 0):
             word = self.low >> np.uint64(shift)
-            self.words[self.at, lanes] = word if shift == 32 else word & np.uint64(0xFFFF)
-            self.at += 1
-        for row in range(int(self.at.max()) - 1, 0, -1):
-            self.words[row - 1] += self.words[row] >> 16
-        packed = np.ascontiguousarray(self.words[: self.at.max()].astype("<u2").T)
-        return [packed[i, :n].tobytes() for i, n in enumerate(self.at.tolist())]
+            self.words[self.at] = word if shift == 32 else word & np.uint64(0xFFFF)
+            self.at += self.lanes
+        lengths = self.at // self.lanes
+        words = self.words.reshape(-1, self.lanes)[: lengths.max()]
+        for row in range(len(words) - 1, 0, -1):
+            words[row - 1] += words[row] >> 16
+        packed = np.ascontiguousarray(words.astype("<u2").T)
+        return [packed[i, :n].tobytes() for i, n in enumerate(lengths.tolist())]
 
 
 class Decoder:
     def __init__(self, payloads: list[bytes]):
-        lanes = len(payloads)
-        words = np.zeros((lanes, max(map(len, payloads)) // 2 + 1), "<u2")
+        self.lanes = len(payloads)
+        words = np.zeros((self.lanes, max(map(len, payloads)) // 2 + 1), "<u2")
         for i, payload in enumerate(payloads):
             words[i, : len(payload) // 2] = np.frombuffer(payload, "<u2")
-        self.words = np.ascontiguousarray(words.T)
-        self.range = np.full(lanes, (1 << 48) - 1, np.uint64)
-        self.code = np.zeros(lanes, np.uint64)
-        for row in range(TAIL):
-            self.code = self.code << U16 | self.words[row].astype(np.uint64)
-        self.at = np.full(lanes, TAIL, np.int64)
+        self.words = np.ascontiguousarray(words.T).reshape(-1)
+        self.range = np.full(self.lanes, (1 << 48) - 1, np.uint64)
+        self.code = np.zeros(self.lanes, np.uint64)
+        self.at = np.arange(self.lanes)
+        for _ in range(TAIL):
+            self.code = self.code << U16 | self.words.take(self.at).astype(np.uint64)
+            self.at += self.lanes
 
     def take(self, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         n = len(unit)
@@ -102,10 +105,10 @@ class Decoder:
         code -= unit * start
         np.multiply(unit, size, out=span)
         short = np.flatnonzero(span < FLOOR)
-        at = self.at[short]
-        code[short] = code[short] << U16 | self.words[at, short].astype(np.uint64)
-        self.at[short] = at + 1
-        span[short] <<= U16
+        at = self.at.take(short)
+        code[short] = code.take(short) << U16 | self.words.take(at).astype(np.uint64)
+        self.at[short] = at + self.lanes
+        span[short] = span.take(short) << U16
 
 
 class Contexts:

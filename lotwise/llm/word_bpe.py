@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,8 +22,17 @@ MEMO_BYTES = 48 << 20
 ENTRY_BYTES = 160  # of a memo entry beside its chunk and ids
 WORD_END = "</w>"
 # The file's own pre-token rule, for lower-cased printable ASCII and Latin letters only.
-PRE_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ a-z0-9ß-öø-ÿ]+|( )")
+PRE_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ a-z0-9ß-öø-ÿ]+")
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+PLAIN_CHUNKS = re.compile(r"[ -~À-ÖØ-öø-ÿ]*")
+# A text all of whose letters are plain may be lowered as a whole. A comma or full stop before a
+# blank is a pre-token of its own, so that a blank may be put before it, but after other signs.
+PLAIN_TEXT = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+SIGN_RUN = re.compile(r"[!-/:-@\[-`{-~][.,][ \n]")
+ENDINGS = (", ", ". ", ",\n", ".\n")
+# ``str.split`` would also cut at these, which are no white space to the tokenizer's rules.
+ODD_BLANKS = re.compile(r"[\x1c-\x1f]")
+BLANKS = re.compile(r"[ \t-\r]+")
 
 
 def _byte_of_letter() -> dict[str, int]:
@@ -58,15 +68,15 @@ class WordEncoder:
         self.tokenizer, self.encoding, self.blank, self.added = load(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("Ids of this vocabulary do not fit 16 bits")
-        self.memo: dict[bytes, bytes] = {}
+        self.memo: dict[str, bytes] = {}
         self.held = 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [text.encode().split() for text in texts]
+        chunks = [self._chunks(text) for text in texts]
         known = self.memo
-        new = {chunk for row in chunks for chunk in row if chunk not in known}
-        fresh = self._encode_new(list(new))
-        self.held += sum(len(a) + len(b) + ENTRY_BYTES for a, b in fresh.items())
+        new = list(set().union(*chunks).difference(known))
+        fresh = self._encode_new(new)
+        self.held += sum(map(len, new)) + sum(map(len, fresh.values())) + ENTRY_BYTES * len(new)
         known.update(fresh)
         ids = [b"".join(map(known.__getitem__, row)) for row in chunks]
         if self.held > MEMO_BYTES:
@@ -74,21 +84,40 @@ class WordEncoder:
             self.held = 0
         return ids
 
-    def _encode_new(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        plain, others = [], []
-        for chunk in chunks:
-            text = chunk.decode()
-            simple = PLAIN.fullmatch(text) and not any(t in text for t in self.added)
-            (plain if simple else others).append((chunk, text))
-        found = {}
-        if others:
-            encoded = self.tokenizer.encode_batch_fast([t for _, t in others], add_special_tokens=False)
-            found = {c: np.array(e.ids, "<u2").tobytes() for (c, _), e in zip(others, encoded, strict=True)}
-        if plain:
-            joined = " ".join(t for _, t in plain).lower()
-            closed = PRE_TOKENS.sub(lambda m: " " if m.group(1) else m.group() + "\0", joined)
-            ids = np.array(self.encoding.encode_ordinary(closed), "<u2")
-            parts = np.split(ids, np.flatnonzero(ids == self.blank))
-            for i, ((chunk, _), part) in enumerate(zip(plain, parts, strict=True)):
-                found[chunk] = (part[1:] if i else part).tobytes()
+    def _spells_added(self, text: str) -> bool:
+        return any(token in text for token in self.added)
+
+    def _chunks(self, text: str) -> list[str]:
+        if PLAIN_TEXT.fullmatch(text) and not self._spells_added(text):
+            text = text.lower()
+            if not SIGN_RUN.search(text):
+                for ending in ENDINGS:
+                    text = text.replace(ending, " " + ending)
+        return BLANKS.sub(" ", text).split(" ") if ODD_BLANKS.search(text) else text.split()
+
+    def _encode_new(self, chunks: list[str]) -> dict[str, bytes]:
+        joined = " ".join(chunks)
+        plain, found = chunks, {}
+        if not PLAIN_CHUNKS.fullmatch(joined) or self._spells_added(joined):
+            plain, others = [], []
+            for chunk in chunks:
+                simple = PLAIN.fullmatch(chunk) and not self._spells_added(chunk)
+                (plain if simple else others).append(chunk)
+            encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+            found = {c: np.array(e.ids, "<u2").tobytes() for c, e in zip(others, encoded, strict=True)}
+        words = [chunk for chunk in plain if chunk.isalpha()]  # a pre-token each
+        mixed = [chunk for chunk in plain if not chunk.isalpha()]
+        found.update(self._encode_closed(words, "\0 ".join(words).lower() + "\0"))
+        found.update(self._encode_closed(mixed, PRE_TOKENS.sub("\\g<0>\0", " ".join(mixed).lower())))
         return found
+
+    def _encode_closed(self, chunks: list[str], closed: str) -> Iterator[tuple[str, bytes]]:
+        """``closed``: the chunks with a closing byte after each pre-token, a blank between chunks."""
+        if not chunks:
+            return iter(())
+        ids = np.array(self.encoding.encode_ordinary(closed), "<u2")
+        packed = ids.tobytes()
+        blanks = 2 * np.flatnonzero(ids == self.blank)
+        starts, ends = [0, *(blanks + 2).tolist()], [*blanks.tolist(), len(packed)]
+        parts = (packed[a:b] for a, b in zip(starts, ends, strict=True))
+        return zip(chunks, parts, strict=True)
