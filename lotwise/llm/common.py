@@ -52,6 +52,28 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+ROW = "_row"
+
+
+def carried(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id``, ``text`` and all other columns in one struct, where no name can clash."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text)]
+    row = F.struct(*others) if others else F.struct(F.lit(None).cast("string").alias("nothing"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"), row.alias(ROW))
+
+
+def restored(
+    found: DataFrame,
+    names: list[str],
+    changed: dict[str, Column] | None = None,
+    id_col: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The columns ``names`` out of rows of ``carried``; ``changed`` replaces some by name."""
+    own = {id_col: F.col("doc_id"), text: F.col("text"), **(changed or {})}
+    return found.select(*(own.get(n, F.col(ROW).getField(n)).alias(n) for n in names))
+
+
 def checksum(df: DataFrame) -> tuple[int, int]:
     row = df.agg(
         F.count(F.lit(1)).alias("n"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import hash128, text_or_empty
+from lotwise.llm.common import ROW, carried, hash128, restored, text_or_empty
 from lotwise.sources.scratch import stored
 
 
@@ -70,21 +70,21 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text: Column | None = N
 def drop_copies(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents with one row left of each text, with the columns of ``docs``.
 
-    Rows that tie in id and text keep one of them.
+    Rows that tie in id and text keep one of them. Other columns come back as they are.
     """
-    names = docs.columns
     text = text_or_empty()
     found = classes(docs, id_col).select(
         F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "_sha", "keep_id"
     ).withColumn("_found", F.lit(True))
     h1, h2 = hash128(text)
-    marked = docs.withColumns({"_h1": h1, "_h2": h2, "_sha": F.sha2(text, 256)}).join(
+    marked = carried(docs, id_col).withColumns({"_h1": h1, "_h2": h2, "_sha": F.sha2(text, 256)}).join(
         found, ["_h1", "_h2", "_sha"], "left"
     )
-    alone = marked.filter(F.col("_found").isNull()).select(*names)
+    own = ["doc_id", "text", ROW]
+    alone = marked.filter(F.col("_found").isNull()).select(*own)
     firsts = (
-        marked.filter(F.col("_found") & F.col(id_col).eqNullSafe(F.col("keep_id")))
+        marked.filter(F.col("_found") & F.col("doc_id").eqNullSafe(F.col("keep_id")))
         .dropDuplicates(["_h1", "_h2", "_sha"])
-        .select(*names)
+        .select(*own)
     )
-    return alone.unionByName(firsts)
+    return restored(alone.unionByName(firsts), docs.columns, id_col=id_col)

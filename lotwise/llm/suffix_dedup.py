@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import ROOT, hash128, map_arrow, small_batches, text_or_empty
+from lotwise.llm.common import ROOT, ROW, carried, hash128, map_arrow, restored, small_batches, text_or_empty
 from lotwise.sources.scratch import stored
 
 LENGTH = 200
@@ -391,11 +391,14 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the text that is left, null where it was null, and its ``n_chars``."""
-    left = remove_repeats(docs, as_text=True)
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept"))
-    changed = {"text": text}
+    """``docs`` with the text that is left, null where it was null, and its ``n_chars``.
+
+    Other columns, whatever their names, come back as they are.
+    """
+    left = remove_repeats(carried(docs), as_text=True)
+    untouched = F.col("n_removed") == 0
+    changed = {"text": F.when(untouched, F.col("text")).otherwise(F.col("kept"))}
     if "n_chars" in docs.columns:
-        n = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("kept"))
+        n = F.when(untouched, F.col(ROW).getField("n_chars")).otherwise(F.length("kept"))
         changed["n_chars"] = n.cast(docs.schema["n_chars"].dataType)
-    return left.withColumns(changed).select(*docs.columns)
+    return restored(left, docs.columns, changed)

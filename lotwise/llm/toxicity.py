@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from lotwise.llm.common import map_arrow, small_batches, texts_of
+from lotwise.llm.common import ROW, carried, map_arrow, restored, small_batches, texts_of
 from lotwise.sources.scratch import stored
 
 SAMPLE = 3000  # labelled documents of each kind that are learned from, at most
@@ -335,7 +335,11 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFra
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows predicted toxic, with the columns of ``docs``."""
-    named = docs.withColumn("_text", F.col("text"))
-    kept = score(named, labels, id_col).filter("predicted = 0")
-    return kept.withColumn("text", F.col("_text")).select(*docs.columns)
+    """``docs`` without the rows predicted toxic, with the columns of ``docs``.
+
+    Other columns, whatever their names, come back as they are.
+    """
+    named = carried(docs, id_col).withColumn(ROW, F.struct("text", ROW))
+    kept = score(named, labels).filter("predicted = 0")
+    kept = kept.select("doc_id", F.col(f"{ROW}.text").alias("text"), F.col(f"{ROW}.{ROW}").alias(ROW))
+    return restored(kept, docs.columns, id_col=id_col)

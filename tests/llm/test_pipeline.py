@@ -115,7 +115,7 @@ def _check_pieces(docs, pieces):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_text_query_matches_its_oracle(spark, name):
     duck = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     expected = duck.sql(queries.oracle_sql()[name])
     found = queries.queries()[name](spark, DATA)
