@@ -12,8 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Skips the capture of a Python stack trace for every column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    # Drops the shuffle files of finished writes on long runs.
-    "spark.cleaner.periodicGC.interval": "5min",
     "spark.ui.enabled": "false",
 }
 

@@ -1,9 +1,13 @@
 """Intermediate tables on the shared folder of the cluster."""
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """This application's subfolder of the folder named by ``spark.checkpoint.dir``.
@@ -29,9 +33,26 @@ def stored(df: DataFrame) -> DataFrame:
     the columns they need, and the optimizer knows its true size, so small tables
     are broadcast, and large ones are not, without any hint.
     """
-    path = new_path(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark)
+    with _shuffles_dropped(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside are deleted as soon as it has ended.
+
+    Else they stay until a collection on the driver, and a plan of many stored tables holds
+    the shuffles of all of them on the executors' disks.
+    """
+    before = spark.conf.get(FILE_CLEANUP, "false")
+    spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FILE_CLEANUP, before)
 
 
 def release(spark: SparkSession) -> bool:

@@ -1,13 +1,14 @@
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
 from lotwise.operators.cleaning import aggregate_by_sale
 from lotwise.operators.pricing import time_based_split
 from lotwise.schemas import LOT_ORDER, RAW_LOT
 from lotwise.sources import tables
 from lotwise.sources.raw_files import load_years, raw_file_path, read_raw_file, write_raw_file
-from lotwise.sources.scratch import shared_folder, stored
+from lotwise.sources.scratch import FILE_CLEANUP, shared_folder, stored
 
 HEADER = [*RAW_LOT.fieldNames(), "adresse_nom_voie", "numero_disposition"]
 
@@ -173,3 +174,12 @@ def test_the_split_reads_its_years_only(spark, sales, tmp_path):
             assert "annee" in plan.split("PartitionFilters: [")[1].split("]")[0]
             read = {r[0] for r in part.select("_metadata.file_path").distinct().collect()}
             assert {int(f.split("annee=")[1][:4]) for f in read} <= wanted
+
+
+def test_storing_leaves_no_shuffle_files_and_no_setting(spark):
+    before = spark.conf.get(FILE_CLEANUP, "false")
+    grouped = spark.range(5000).groupBy((F.col("id") % 7).alias("k")).count()
+    first = stored(grouped)
+    assert spark.conf.get(FILE_CLEANUP, "false") == before
+    # The same frame can be stored and read again: its shuffle is made anew.
+    assert first.count() == stored(grouped).count() == grouped.count() == 7
