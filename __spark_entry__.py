@@ -231,6 +231,9 @@ def _sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clean_price_range": lambda s, d: cleaning.filter_price_range(_sales(s, d)),
         "clean_area_range": lambda s, d: cleaning.filter_area_range(_sales(s, d)),
         "clean_sales": _clean,
+        "clean_sales_by_place": lambda s, d: cleaning.clean_sales(
+            stored(raw_lots(s, d)), by_place=True
+        ),
         "clean_sales_audited": lambda s, d: cleaning.clean_from_audited(
             cleaning.audited_sales(raw_lots(s, d))
         ),
@@ -468,6 +471,7 @@ def _sales_oracles() -> dict[str, str]:
         "clean_area_range": (_SALES, "SELECT * FROM sales WHERE surface_bati BETWEEN 9 AND 1000"),
         "clean_sales": (_CLEAN, f"SELECT {_CLEAN_COLUMNS} FROM clean"),
         "clean_sales_audited": (_CLEAN, f"SELECT {_CLEAN_COLUMNS} FROM clean"),
+        "clean_sales_by_place": (_CLEAN, f"SELECT {_CLEAN_COLUMNS} FROM clean"),
         "cleaning_funnel": (_FUNNEL, "SELECT * FROM funnel"),
         "cleaning_report": (
             _FUNNEL,

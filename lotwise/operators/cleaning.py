@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lotwise.functions.columns import is_dwelling
 from lotwise.schemas import (
     CLEAN_SALE,
+    DWELLING_TYPES,
     LOT_ORDER,
     MARKET_NATURES,
     MAX_AREA,
@@ -92,6 +93,52 @@ def aggregate_by_sale(lots: DataFrame) -> DataFrame:
     )
 
 
+# Text of a sale, and the condition on the lots that it is taken from.
+_TEXTS = ("date_mutation", "nom_commune")
+
+
+def aggregate_by_place(lots: DataFrame) -> DataFrame:
+    """``aggregate_by_sale`` without sorting lots: the same sales by hash aggregation alone.
+
+    Spark cannot keep text in the buffer of a hash aggregation, so taking the first text of a
+    sale makes it sort all lots. Here the aggregation only finds the places of the first
+    texts, numbers like all else; the type of dwelling, one of few, travels as its number. The
+    texts are then looked up among the lots by sale and place, for the sales that are left:
+    filters on numbers reach the aggregation, before the lookup. Sales are the hashed side of
+    these joins, one row each, and lots stream by, so neither side is sorted and a sale of very
+    many lots is spread by place.
+
+    Lots are read once more for each text. ``lot_order`` must be a number, and lots of a sale
+    that tie on it must agree on their texts.
+    """
+    place = _lot_position(lots)
+    known = lots.filter(F.col("id_mutation").isNotNull())
+    kinds = F.array(*map(F.lit, DWELLING_TYPES))
+    coded = known.withColumns(
+        {
+            "_position": place,
+            "_dwelling": is_dwelling(),
+            "type_local": F.nullif(F.array_position(kinds, F.col("type_local")), F.lit(0)).cast("int"),
+        }
+    )
+    numbers = {n: c for n, c in _sale_aggregates(F.lit(True)).items() if n not in _TEXTS}
+    places = {f"_{name}_at": F.min(F.when(F.col(name).isNotNull(), F.col("_position"))) for name in _TEXTS}
+    sales = (
+        coded.groupBy("id_mutation")
+        .agg(*(column.alias(name) for name, column in (numbers | places).items()))
+        .withColumn("type_bien", F.get(kinds, F.col("type_bien") - 1))
+    )
+    for name in _TEXTS:
+        found = (
+            known.filter(F.col(name).isNotNull())
+            .select(F.col("id_mutation").alias("_sale"), place.alias("_place"), F.col(name))
+            .distinct()
+        )
+        same = (F.col("id_mutation") == F.col("_sale")) & (F.col(f"_{name}_at") == F.col("_place"))
+        sales = sales.hint("shuffle_hash").join(found, same, "left").drop("_sale", "_place")
+    return sales.select(*CLEAN_SALE.fieldNames())
+
+
 def keep_single_dwelling(sales: DataFrame) -> DataFrame:
     """Keep sales of exactly one dwelling, the only ones with a usable unit price."""
     return sales.filter(F.col("nb_logements") == 1)
@@ -109,12 +156,16 @@ def filter_area_range(sales: DataFrame) -> DataFrame:
     return sales.filter(F.col("surface_bati").between(MIN_AREA, MAX_AREA))
 
 
-def clean_sales(lots: DataFrame) -> DataFrame:
-    """All cleaning steps in order; lots are filtered before they are shuffled."""
+def clean_sales(lots: DataFrame, by_place: bool = False) -> DataFrame:
+    """All cleaning steps in order; lots are filtered before they are shuffled.
+
+    ``by_place`` takes texts by ``aggregate_by_place``: for lots that come in no order, where
+    sorting them costs more than reading them again.
+    """
     return (
         lots.transform(keep_market_sales)
         .transform(drop_missing_price)
-        .transform(aggregate_by_sale)
+        .transform(aggregate_by_place if by_place else aggregate_by_sale)
         .transform(keep_single_dwelling)
         .transform(filter_price_range)
         .transform(filter_area_range)

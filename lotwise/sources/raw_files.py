@@ -22,6 +22,8 @@ def raw_file_path(folder: str, dataset: str, department: str, year: int) -> str:
 # Columns of the file lineage.
 SOURCE_FILE, MALFORMED = "source_file", "malformed"
 _UNPARSED = "_unparsed_row"
+# The place of a row within a file stays below this power of two: a file of a million parts.
+_FILE_BITS = 53
 
 
 def read_raw_file(
@@ -106,7 +108,7 @@ def load_years(
             logger.warning("No file for %s, year skipped: %s", year, path)
             continue
         frames.append(
-            lots.withColumn(LOT_ORDER, F.struct(F.lit(rank).alias("file"), F.col(LOT_ORDER).alias("row")))
+            lots.withColumn(LOT_ORDER, F.col(LOT_ORDER) + F.lit(rank << _FILE_BITS))
             .withColumn("source_year", F.lit(year))
         )
     if not frames:
