@@ -102,7 +102,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     )
     length = F.octet_length("http") + F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes"))
     url = F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")
-    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    now = F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     header = F.concat(
         F.lit(VERSION),
         _line("WARC-Type", F.col("record_type")),
