@@ -4,7 +4,7 @@ The trie is a table of edges: ``(node, label, child)``, where a node is a prefix
 part or end, and a label the letters up to the next such prefix. Level by level the frontier of
 states ``(word, position, node, edits)`` is joined with it:
 
-* without an edit so far, a state follows its own word's edge; at every other edge of the
+* without an edit so far, a state follows its own word's edge; at any other edge of the
   node the two words part, and the edit must lie there: a replaced letter (label after its
   first letter equals the word after its next) or a left-out one (label equals the word after
   its next letter);
@@ -25,25 +25,22 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import map_arrow, small_batches, texts_of
+from lotwise.llm.common import map_arrow, small_batches
 from lotwise.sources.scratch import stored
 
-WORD = re.compile("[A-Za-zÀ-ÿ]+")
-UPPER = {c: c + 32 for c in range(0x41, 0x5B)}
 ONE_IN = 199  # of (document, run) pairs lose a letter
 MIN_LETTERS = 6
 MIN_COUNT = 5
 FREQUENCY_RATIO = 5
 HOT = 20_000  # words through a node that share a key
-FLUSH_BYTES = 24 << 20
-ENTRY_BYTES = 120
+FLUSH_BYTES = 16 << 20  # of text between two partial counts
 ROOT_NODE = 0
 HASH_PRIME = (1 << 61) - 1
 HASH_FACTOR = 0x5DEECE66D1234567 % HASH_PRIME
@@ -52,9 +49,8 @@ HASH_FACTOR = 0x5DEECE66D1234567 % HASH_PRIME
 # --- Words -------------------------------------------------------------------------
 
 
-def spelled(doc_id: int | None, run: str) -> str:
-    """The run as it counts in a document: one in ``ONE_IN`` pairs loses a letter."""
-    h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+def spelled(run: str, h: int) -> str:
+    """The run as it counts in a document; ``h``: crc32 of ``<id>:<run>``."""
     if h % ONE_IN:
         return run
     at = h % len(run)
@@ -69,9 +65,13 @@ def count_words(docs: DataFrame, min_letters: int = MIN_LETTERS, min_count: int
     costs a row a few megabytes of text.
     """
 
+    # Shorter runs cannot become words. UTF-8 lowered as bytes lowers A-Z alone.
+    runs = re.compile("[a-zÀ-ÿ]{%d,}" % min_letters)
+    crc32 = zlib.crc32
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[str] = Counter()
-        size = 0
+        held: dict[str, int] = defaultdict(int)
+        chars = 0
 
         def flush() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -79,20 +79,19 @@ def count_words(docs: DataFrame, min_letters: int = MIN_LETTERS, min_count: int
             )
 
         for batch in small_batches(batches, 4 << 20):
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
-                lowered: Counter[str] = Counter()
-                for token, n in Counter(WORD.findall(text)).items():
-                    lowered[token.lower() if token.isascii() else token.translate(UPPER)] += n
-                for token, n in lowered.items():
-                    if len(token) >= min_letters:
-                        word = spelled(doc_id, token)
-                        if len(word) >= min_letters:
-                            if word not in held:
-                                size += len(word) + ENTRY_BYTES
-                            held[word] += n
-                if size > FLUSH_BYTES:
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            for doc_id, text in zip(batch.column(0).to_pylist(), texts, strict=True):
+                start = crc32(b"%d:" % doc_id if doc_id is not None else b":")
+                for token, n in Counter(runs.findall((text or b"").lower().decode())).items():
+                    h = crc32(token.encode(), start)
+                    if h % ONE_IN:
+                        held[token] += n
+                    elif len(word := spelled(token, h)) >= min_letters:
+                        held[word] += n
+                chars += len(text or b"")
+                if chars > FLUSH_BYTES:  # no more words than letters have been read
                     yield flush()
-                    held, size = Counter(), 0
+                    held, chars = defaultdict(int), 0
         yield flush()
 
     counted = map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, "word string, n long")
@@ -128,10 +127,10 @@ def prefix_rows(words: DataFrame) -> DataFrame:
 
 
 def trie_edges(rows: DataFrame, words: DataFrame, hot: int = HOT) -> tuple[DataFrame, int]:
-    """``node, key, label, child, child_keys, ends`` and the number of the root's keys.
+    """``node, key, label, letter, child, child_keys, ends`` and the number of the root's keys.
 
-    ``rows``: the stored ``prefix_rows`` of ``words``; ``ends``: a word ends at the child. A
-    node has a key for every ``hot`` words that pass it.
+    ``rows``: the stored ``prefix_rows`` of ``words``; ``letter``: the label's first; ``ends``:
+    a word ends at the child. A node has a key for every ``hot`` words that pass it.
     """
     nodes = (
         rows.groupBy("node", "follows")
@@ -174,6 +173,7 @@ def trie_edges(rows: DataFrame, words: DataFrame, hot: int = HOT) -> tuple[DataF
         )
         .distinct()
         .withColumn("key", F.explode(F.expr("sequence(0, keys - 1)")))
+        .withColumn("letter", F.substring("label", 1, 1))
         .drop("keys")
     )
     root = nodes.filter(F.col("node") == ROOT_NODE).first()
@@ -184,13 +184,34 @@ def _key(keys: Column | str) -> Column:
     return F.pmod(F.hash("id"), F.col(keys) if isinstance(keys, str) else keys).cast("int")
 
 
+_MOVED = ("id", "rest", "child", "child_keys", "edited", "ends")
+
+
+def second_letters(edges: DataFrame) -> DataFrame:
+    """``edges`` by ``second``, the letter that can follow the first one; '' where a word may end.
+
+    An edge of one letter has a row for each edge of its child, and one if a word ends there.
+    """
+    long = edges.filter(F.length("label") > 1).withColumn("second", F.substring("label", 2, 1))
+    short = edges.filter(F.length("label") == 1)
+    next_letters = edges.select(F.col("node").alias("child"), F.col("letter").alias("second")).distinct()
+    return (
+        long.unionByName(short.join(next_letters, "child"))
+        .unionByName(short.filter("ends").withColumn("second", F.lit("")))
+        .select(*edges.columns, "second")
+    )
+
+
 def one_edit_pairs(words: DataFrame, hot: int = HOT) -> DataFrame:
     """``a, b``: ids of words one edit apart, each pair once, and pairs of equal hashes, if any.
 
-    ``words``: a stored table ``id, word, n``.
+    ``words``: a stored table ``id, word, n``. A state meets the edges that start with its next
+    letter, or with the one after if it leaves a letter out; a replaced letter is met by the
+    letter that follows it. So no state is joined with all edges of a node.
     """
     rows = stored(prefix_rows(words))
     edges, root_keys = trie_edges(rows, words, hot)
+    replacing = stored(second_letters(edges))
     frontier = words.select(
         "id",
         F.col("word").alias("rest"),
@@ -198,33 +219,38 @@ def one_edit_pairs(words: DataFrame, hot: int = HOT) -> DataFrame:
         _key(F.lit(root_keys)).alias("key"),
         F.lit(False).alias("edited"),
     )
-    size, first, held = F.length("label"), F.substring("label", 1, 1), F.substring("rest", 1, 1)
-    same = F.col("rest").startswith(F.col("label"))
-    replaced = (
-        (first > held)
-        & (F.length("rest") >= size)
-        & (F.expr("substring(rest, 2, length(label) - 1)") == F.expr("substring(label, 2)"))
-    )
-    left_out = (first != held) & (F.expr("substring(rest, 2, length(label))") == F.col("label"))
-    moves = F.filter(
-        F.array(
-            F.when(same, F.struct(size.alias("used"), F.col("edited").alias("edited"))),
-            F.when(~F.col("edited") & replaced, F.struct(size.alias("used"), F.lit(True).alias("edited"))),
-            F.when(~F.col("edited") & left_out, F.struct((size + 1).alias("used"), F.lit(True).alias("edited"))),
-        ),
-        lambda move: move.isNotNull(),
-    )
+    first, second = F.substring("rest", 1, 1), F.substring("rest", 2, 1)
+    # Letters to look for, and how many of the word are left out before them.
+    followed = F.struct(first.alias("letter"), F.lit(0).alias("skipped"))
+    left_out = F.struct(second.alias("letter"), F.lit(1).alias("skipped"))
+    may_skip = ~F.col("edited") & (second != "") & (second != first)
+    probes = F.when(may_skip, F.array(followed, left_out)).otherwise(F.array(followed))
     pairs = None
     while True:
+        probing = frontier.select("*", F.inline(probes))
+        along = probing.join(edges, ["node", "key", "letter"]).filter(
+            F.expr("substring(rest, 1 + skipped, length(label)) = label")
+        )
+        changed = (
+            frontier.filter(~F.col("edited"))
+            .withColumn("second", second)
+            .join(replacing, ["node", "key", "second"])
+            .filter(F.col("letter") > first)
+            .filter(F.expr("length(rest) >= length(label) AND substring(rest, 2, length(label) - 1) = substring(label, 2)"))
+        )
         moved = stored(
-            frontier.join(edges, ["node", "key"])
-            .withColumn("move", F.explode(moves))
+            along.withColumn("edited", F.col("edited") | (F.col("skipped") == 1))
+            .withColumn("used", F.length("label") + F.col("skipped"))
+            .select(*_MOVED, "used")
+            .unionByName(
+                changed.withColumn("edited", F.lit(True)).withColumn("used", F.length("label")).select(*_MOVED, "used")
+            )
             .select(
                 "id",
-                F.expr("substring(rest, move.used + 1)").alias("rest"),
+                F.expr("substring(rest, used + 1)").alias("rest"),
                 F.col("child").alias("node"),
                 _key("child_keys").alias("key"),
-                F.col("move.edited").alias("edited"),
+                "edited",
                 "ends",
             )
         )
