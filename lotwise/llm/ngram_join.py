@@ -4,8 +4,9 @@ Words are runs of characters other than ASCII white space, A-Z in lower case; a
 the distinct shingles of ``WORDS`` words, or the whole sequence where there are fewer
 words. Two documents link when ``100 * shared >= percent * union``. Shingles are 64-bit
 hashes. Null and blank texts have no shingles and no links. Of rows that
-repeat an id with different words, one takes part in links; rows without an id have none;
-an empty table gives an empty result.
+repeat an id with different words, one takes part in links. A row without an id takes the
+component of an equal set, if there is one, and has no other links. An empty table gives an
+empty result.
 
 How the links are found:
 
@@ -28,6 +29,7 @@ How the links are found:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -45,8 +47,9 @@ FREQUENT = 16
 BLOCK = 256
 LEADER_KEYS = 6
 MIX = np.uint64(0x9E3779B97F4A7C15)
-_word_hashes: dict[bytes, int] = {}
-WORD_MEMO = 500_000
+# Words are hashed this many bytes at a time.
+CHUNK = 256 << 10
+BASE = 0xD1342543DE82EF95  # odd, so that it has an inverse
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -56,28 +59,104 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """The sorted distinct shingle hashes of a whole text."""
-    words = (text or "").encode().lower().split()  # bytes: ASCII blanks and A-Z only
-    if not words:
+def _byte_values() -> np.ndarray:
+    """A number for every byte, a letter's the same in both cases; zero for blanks."""
+    values = _mixed(np.arange(1, 257, dtype=np.uint64) * MIX)
+    values[0x41:0x5B] = values[0x61:0x7B]
+    values[[0x20, *range(0x09, 0x0E)]] = 0
+    return values
+
+
+_VALUES = _byte_values()
+_BLANK = _VALUES == 0
+
+
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``BASE`` and of its inverse modulo 2**64."""
+    factors = np.full((2, n + 1), 1, np.uint64)
+    factors[0, 1:], factors[1, 1:] = BASE, pow(BASE, -1, 1 << 64)
+    up, down = np.cumprod(factors, axis=1)
+    return up, down
+
+
+def _word_hashes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of ``data`` in order, and how many start before each of ``cuts``.
+
+    A word ends at blanks and at ``cuts``. Its hash is a polynomial of its bytes, taken as a
+    difference of running sums that is shifted back to the word's start.
+    """
+    word = ~_BLANK[data]
+    opens = np.ones(len(data) + 1, bool)
+    opens[1:] = ~np.append(word[:-1], False) if len(data) else True
+    opens[cuts] = True
+    starts = np.flatnonzero(word & opens[:-1])
+    ends = np.flatnonzero(word & (np.append(~word[1:], True) | opens[1:])) + 1
+    up, down = _powers(CHUNK) if len(data) <= CHUNK else _powers.__wrapped__(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_VALUES[data] * up[: len(data)], out=sums[1:])
+    hashes = _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * MIX)
+    return hashes, np.searchsorted(starts, cuts)
+
+
+def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Cuts ``data`` into pieces of about ``CHUNK`` bytes, at ends of texts or at blanks."""
+    at, end = int(offsets[0]), int(offsets[-1])
+    while at < end:
+        to = min(end, at + CHUNK)
+        if to < end:
+            whole = int(offsets[np.searchsorted(offsets, to, "right") - 1])
+            if whole > at:
+                to = whole
+            else:
+                inside = np.flatnonzero(_BLANK[data[at:to]])
+                if len(inside):
+                    to = at + int(inside[-1]) + 1
+                else:  # a word that is longer than a piece
+                    text_end = int(offsets[np.searchsorted(offsets, at, "right")])
+                    after = np.flatnonzero(_BLANK[data[to:text_end]])
+                    to = to + int(after[0]) if len(after) else text_end
+        yield at, to
+        at = to
+
+
+def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each whole text; none for null and blank ones."""
+    texts = texts.cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    hashes, counts = [np.zeros(0, np.uint64)], np.zeros(len(texts) + 1, np.int64)
+    done = 0
+    for at, to in _pieces(data, offsets):
+        cuts = np.unique(np.clip(offsets, at, to)) - at
+        found, before = _word_hashes(data[at:to], cuts)
+        # Words that start before each text's offset, in this piece and the earlier ones.
+        place = np.searchsorted(cuts, np.clip(offsets, at, to) - at)
+        counts = np.where(offsets > at, done + before[place], counts)
+        done += len(found)
+        hashes.append(found)
+    words = np.concatenate(hashes)
+    n = max(0, len(words) - WORDS + 1)
+    rolled = np.full(n, np.uint64(WORDS), np.uint64)
+    for k in range(WORDS):
+        rolled = rolled * MIX + words[k : k + n]
+    rolled = _mixed(rolled)
+    return [_distinct(words, rolled, a, b) for a, b in zip(counts[:-1].tolist(), counts[1:].tolist(), strict=True)]
+
+
+def _distinct(words: np.ndarray, rolled: np.ndarray, first: int, last: int) -> np.ndarray:
+    """Distinct shingles of the text that has the words from ``first`` to before ``last``."""
+    n = last - first
+    if n >= WORDS:
+        found = np.sort(rolled[first : last - WORDS + 1])
+        return found[np.append(True, found[1:] != found[:-1])]
+    if not n:
         return np.zeros(0, np.uint64)
-    memo = _word_hashes
-    if len(memo) > WORD_MEMO:
-        memo.clear()
-    hashes = np.empty(len(words), np.uint64)
-    for i, word in enumerate(words):
-        h = memo.get(word)
-        if h is None:
-            h = xxhash.xxh64_intdigest(word)
-            if len(word) <= 64:
-                memo[word] = h
-        hashes[i] = h
-    size = min(WORDS, len(words))
-    n = len(words) - size + 1
-    found = np.full(n, np.uint64(size), np.uint64)
-    for k in range(size):
-        found = _mixed(found * MIX + hashes[k : k + n])
-    return np.unique(found)
+    whole = np.full(1, np.uint64(n), np.uint64)
+    for word in words[first:last]:
+        whole = whole * MIX + word
+    return _mixed(whole)
 
 
 def least_overlap(size: int, percent: int = PERCENT) -> int:
@@ -139,14 +218,13 @@ def _emit(names: list[str], columns: list) -> pa.RecordBatch:
 def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, s1, s2, k0..)``: size, 128-bit hash of the set, leader keys."""
     names = ["doc_id", "n_shingles", "s1", "s2", *(f"k{i}" for i in range(LEADER_KEYS))]
-    seeds = [np.uint64((i + 1) * 0xD6E8FEB86659FD93 % 2**64) for i in range(LEADER_KEYS)]
+    seeds = [np.uint64(((i + 1) * 0xD6E8FEB86659FD93 | 1) % 2**64) for i in range(LEADER_KEYS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, 4 << 20):
             rows = []
-            for value in batch.column(1).to_pylist():
-                found = shingles(value)
-                least = [int(_mixed(found ^ seed).min()) if len(found) else 0 for seed in seeds]
+            for found in shingle_sets(batch.column(1)):
+                least = [int((found * seed).min()) if len(found) else 0 for seed in seeds]
                 rows.append((len(found), *_signature(found), *least))
             columns = [np.array(c, np.uint64).view(np.int64) for c in zip(*rows, strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -177,25 +255,24 @@ def _verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int) ->
     )
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "sa", "ta", "b", "sb", "tb")
 
+    def own(texts: pa.Array, signatures: pa.Array) -> list[np.ndarray | None]:
+        """Each row's set, unless the text is of another row with its id; equal texts share one."""
+        coded = texts.dictionary_encode()
+        sets = shingle_sets(coded.dictionary)
+        signed = [_signature(found)[0] for found in sets]
+        rows = zip(coded.indices.to_pylist(), signatures.to_pylist(), strict=True)
+        return [sets[i] if i is not None and signed[i] == s % 2**64 else None for i, s in rows]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            out, known = [], {}
-
-            def own(node: int, signature: int, value: str) -> np.ndarray | None:
-                """The node's set, unless the text is of another row with its id."""
-                if (node, value) not in known:
-                    found = shingles(value)
-                    same = _signature(found)[0] == signature % 2**64
-                    known[node, value] = found if same else None
-                return known[node, value]
-
-            for a, sa, ta, b, sb, tb in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                x, y = own(a, sa, ta), own(b, sb, tb)
+            a, sa, ta, b, sb, tb = batch.columns
+            out = []
+            for m, x, n, y in zip(a.to_pylist(), own(ta, sa), b.to_pylist(), own(tb, sb), strict=True):
                 if x is None or y is None:
                     continue
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * shared >= percent * (len(x) + len(y) - shared):
-                    out.append((a, b))
+                    out.append((m, n))
             if out:
                 yield _emit(["a", "b"], list(map(np.array, zip(*out, strict=True))))
 
@@ -236,7 +313,7 @@ def _prefixes(docs: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 4 << 20):
-            sets = [shingles(value) for value in batch.column(1).to_pylist()]
+            sets = shingle_sets(batch.column(1))
             parts = [s[: prefix_length(len(s), percent)] if len(s) else s for s in sets]
             offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -265,8 +342,8 @@ def _whole(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 4 << 20):
-            for rep, s1, cls, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = shingles(value)
+            sets = shingle_sets(batch.column(3))
+            for rep, s1, cls, found in zip(*(c.to_pylist() for c in batch.columns[:3]), sets, strict=True):
                 if _signature(found)[0] == s1 % 2**64:
                     n = len(found)
                     yield _emit(
@@ -285,8 +362,9 @@ def _ordered_keys(texts: DataFrame, marks: DataFrame, percent: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 4 << 20):
-            for rep, s1, cls, value, common in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = shingles(value)
+            sets = shingle_sets(batch.column(3))
+            rows = zip(*(batch.column(c).to_pylist() for c in (0, 1, 2, 4)), sets, strict=True)
+            for rep, s1, cls, common, found in rows:
                 if _signature(found)[0] != s1 % 2**64:
                     continue
                 is_common = np.isin(found, np.array(common, np.int64).view(np.uint64))
@@ -366,8 +444,8 @@ def _block_links(posted: DataFrame, docs: DataFrame, reps: DataFrame, classes: D
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         sets, kept = [], []
-        for i, (s1, value) in enumerate(zip(frame["s1"], frame["text"], strict=True)):
-            found = shingles(value)
+        found_sets = shingle_sets(pa.array(frame["text"], pa.large_string()))
+        for i, (s1, found) in enumerate(zip(frame["s1"], found_sets, strict=True)):
             if _signature(found)[0] == s1 % 2**64:
                 sets.append(found)
                 kept.append(i)
