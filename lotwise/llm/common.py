@@ -37,6 +37,33 @@ def map_arrow(
     return df.mapInArrow(function, schema)
 
 
+def map_groups(df: DataFrame, key: str, function: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``function`` on the rows of each ``key``, a long that is never null.
+
+    As ``applyInArrow`` does it, but that loads pandas, which every worker would keep in memory.
+    """
+    at = df.columns.index(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            keys = batch.column(at).to_numpy()
+            bounds = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for first, end in zip(bounds, bounds[1:]):
+                if first == end:
+                    continue
+                if held and keys[first] != last:
+                    yield from function(pa.Table.from_batches(held)).to_batches()
+                    held = []
+                held.append(batch.slice(first, end - first))
+                last = keys[first]
+        if held:
+            yield from function(pa.Table.from_batches(held)).to_batches()
+
+    return map_arrow(df.repartition(key).sortWithinPartitions(key), run, schema)
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of about ``limit`` bytes at most, one row at least: long texts come few at a time."""
     for batch in batches:

@@ -32,13 +32,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import ROOT, components, map_arrow, small_batches
+from lotwise.llm.common import components, map_arrow, map_groups, small_batches
 from lotwise.sources.scratch import stored
 
 WORDS = 5
@@ -442,19 +441,18 @@ def _block_links(posted: DataFrame, docs: DataFrame, reps: DataFrame, classes: D
         .select("task", "rep", "s1", "class", "text")
     )
 
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+    def compare(block: pa.Table) -> pa.Table:
         sets, kept = [], []
-        found_sets = shingle_sets(pa.array(frame["text"], pa.large_string()))
-        for i, (s1, found) in enumerate(zip(frame["s1"], found_sets, strict=True)):
+        found_sets = shingle_sets(block["text"].cast(pa.large_string()).combine_chunks())
+        for i, (s1, found) in enumerate(zip(block["s1"].to_pylist(), found_sets, strict=True)):
             if _signature(found)[0] == s1 % 2**64:
                 sets.append(found)
                 kept.append(i)
-        rep, cls = frame["rep"].to_numpy()[kept], frame["class"].to_numpy()[kept]
-        found = [(rep[i], rep[j]) for i, j in _joining(sets, cls, percent)]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        rep, cls = block["rep"].to_numpy()[kept], block["class"].to_numpy()[kept]
+        pairs = np.array(list(_joining(sets, cls, percent)), np.int64).reshape(-1, 2)
+        return pa.table({"a": rep[pairs[:, 0]], "b": rep[pairs[:, 1]]})
 
-    rows.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
-    return rows.groupBy("task").applyInPandas(compare, "a long, b long")
+    return map_groups(rows, "task", compare, "a long, b long")
 
 
 def _joining(sets: list[np.ndarray], classes: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:

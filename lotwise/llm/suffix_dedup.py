@@ -24,20 +24,28 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import ROOT, ROW, carried, hash128, map_arrow, restored, small_batches, text_or_empty
+from lotwise.llm.common import (
+    ROW,
+    carried,
+    hash128,
+    map_arrow,
+    map_groups,
+    restored,
+    small_batches,
+    text_or_empty,
+)
 from lotwise.sources.scratch import stored
 
 LENGTH = 200
 GRAMS = (64, 136, 176, 200)
 MOST = 4096  # about a megabyte
 LONGEST_RUN = 1024
-BLOCK_BYTES = 512 << 10
+BLOCK_BYTES = 256 << 10
 SEPARATOR = b"\xff"  # no byte of UTF-8
 BASE = np.uint64(0x9E3779B97F4A7C15)
 PLACE = "h1 long, h2 long, lo long, n long"
@@ -265,22 +273,18 @@ def _block_spans(segments: DataFrame) -> DataFrame:
     size = segments.agg(F.sum(F.length("seg"))).first()[0] or 0
     blocks = 1 + size // BLOCK_BYTES
 
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates(["m", "sh"])
-        out = []
-        for marks, h1, h2, low in zip(
-            repeated_windows(list(frame["seg"])), frame["h1"], frame["h2"], frame["lo"], strict=True
-        ):
-            starts, counts = _spans(marks)
-            out += [(h1, h2, low + s, c) for s, c in zip(starts, counts, strict=True)]
-        return pd.DataFrame(out, columns=["h1", "h2", "lo", "n"], dtype="int64")
-
-    segments.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
-    return (
-        segments.withColumn("block", F.pmod(F.xxhash64("m"), F.lit(blocks)))
-        .groupBy("block")
-        .applyInPandas(compare, PLACE)
-    )
+    def compare(block: pa.Table) -> pa.Table:
+        # The first row of each key and segment hash: numpy's sort is stable.
+        keys = np.stack([block["m"].to_numpy(), block["sh"].to_numpy()], axis=1)
+        block = block.take(np.sort(np.unique(keys, axis=0, return_index=True)[1]))
+        h1, h2, low = (block[name].to_numpy() for name in ("h1", "h2", "lo"))
+        spans = [_spans(marks) for marks in repeated_windows(block["seg"].to_pylist())]
+        row = np.repeat(np.arange(len(spans)), [len(starts) for starts, _ in spans])
+        starts, counts = (np.concatenate(part) for part in zip(*spans, strict=True))
+        return pa.table({"h1": h1[row], "h2": h2[row], "lo": low[row] + starts, "n": counts})
+
+    dealt = segments.withColumn("block", F.pmod(F.xxhash64("m"), F.lit(blocks)))
+    return map_groups(dealt, "block", compare, PLACE)
 
 
 def _resolve(light: DataFrame, texts: DataFrame | None, spans: list[DataFrame]) -> DataFrame:

@@ -27,8 +27,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -302,6 +300,10 @@ def _featured(docs: DataFrame, table: np.ndarray, bias: float, carried: list[str
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Columns of ``docs`` but the text, with ``held_out``, ``score`` and ``predicted``."""
+    # Imported by the driver alone: MLlib brings pandas, which every worker would keep in memory.
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
     rows = training_rows(docs.select(F.col(id_col).alias("doc_id"), "text"), labels)
     shares = labels.filter(learnable() & F.col("toxic").isin(0, 1)).agg(F.avg("toxic").alias("p")).first()
     prior = shares.p or 0.0
