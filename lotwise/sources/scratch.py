@@ -40,6 +40,28 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folders(df: DataFrame) -> list[str]:
+    return sorted({file.rpartition("/")[0] for file in df.inputFiles()})
+
+
+def together(frames: list[DataFrame]) -> DataFrame:
+    """Stored frames of one schema, read at once."""
+    folders = [folder for df in frames for folder in _folders(df)]
+    if not folders:
+        return frames[0]
+    return frames[0].sparkSession.read.schema(frames[0].schema).parquet(*folders)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a stored frame that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in _folders(df):
+        if spark.sparkContext.applicationId not in folder:
+            raise ValueError(f"not a stored frame: {folder}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of what runs inside are deleted as soon as it has ended.
